@@ -1,23 +1,24 @@
-"""Questions about one key of a JSON document held as VARIANT: is it there, which type, which value."""
+"""Questions about the keys of a JSON document held as VARIANT: is one there, which type, which value."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def member(doc: Column, name: str) -> Column:
-    """The value under ``name``: SQL NULL when the key is absent, a variant null when it is a JSON null."""
-    return F.variant_get(doc, f"$.{name}", "variant")
-
+def members(doc: Column, names: Iterable[str]) -> Column:
+    """The named values of an object in one step, as a struct of VARIANT; null when ``doc`` is no object.
 
-def has_key(doc: Column, name: str) -> Column:
-    return member(doc, name).isNotNull()
+    A field is SQL NULL when the key is absent and a variant null when it holds a JSON null.
+    """
+    return doc.try_cast(f"struct<{', '.join(f'{n}: variant' for n in names)}>")
 
 
-def kind(doc: Column, name: str) -> Column:
+def kind(value: Column) -> Column:
     """STRING, BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, VOID (JSON null), OBJECT<..>, ARRAY<..>; NULL if absent."""
-    return F.schema_of_variant(member(doc, name))
+    return F.schema_of_variant(value)
 
 
 def is_string(kind_of: Column) -> Column:
@@ -32,13 +33,13 @@ def absent_or_null(kind_of: Column) -> Column:
     return F.coalesce(kind_of == "VOID", F.lit(True))
 
 
-def text(doc: Column, name: str, kind_of: Column) -> Column:
+def text(value: Column, kind_of: Column) -> Column:
     """The string value, null for any other type."""
-    return F.when(is_string(kind_of), F.try_variant_get(doc, f"$.{name}", "string"))
+    return F.when(is_string(kind_of), value.try_cast("string"))
 
 
-def number(doc: Column, name: str, kind_of: Column) -> Column:
-    return F.when(is_number(kind_of), F.try_variant_get(doc, f"$.{name}", "double"))
+def number(value: Column, kind_of: Column) -> Column:
+    return F.when(is_number(kind_of), value.try_cast("double"))
 
 
 def as_fields(doc: Column) -> Column:

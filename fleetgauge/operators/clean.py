@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge.functions import documents as D
 from fleetgauge.functions import scoring, timestamps
+from fleetgauge.operators.lookup import computed_once
 
 # Reasons a message is refused, in the words of the service.
 BAD_JSON = "invalid JSON"
@@ -15,51 +16,51 @@ BAD_DEVICE = "device_id must be a non-empty string"
 BAD_SENSOR = "sensor_id must be a non-empty string"
 BAD_TIMESTAMP = "timestamp must be RFC3339 string or Unix timestamp number"
 
+_TEXTS = ("device_id", "sensor_id", "tenant_id", "timestamp")
+_NUMBERS = ("timestamp", "temperature", "humidity")
 _TYPED = ("device_id", "sensor_id", "tenant_id", "timestamp", "temperature", "humidity")
 _KNOWN = ("timestamp", "temperature", "humidity", "processed_at", "quality_score")
 
 
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``doc`` (VARIANT), ``fields``, ``is_json``, the JSON type of each known key as ``<key>_kind`` and the
-    text (``timestamp_raw``) and instant (``timestamp_instant``) of an RFC 3339 timestamp.
+    """Parse each text once and add what the rules ask about.
 
-    Only an object, or a JSON null standing for an empty one, is a record. Text that is not JSON gives null.
+    ``doc`` (VARIANT), ``is_json``, the JSON type of each known key as ``<key>_kind``, its value as ``<key>_text`` or
+    ``<key>_number`` where it has that type, and the instant of an RFC 3339 timestamp as ``timestamp_instant``. Only an
+    object, or a JSON null standing for an empty one, is a record. Text that is not JSON gives null.
     """
-    doc = df.withColumn("doc", F.try_parse_json(value)).withColumn("fields", D.as_fields(F.col("doc")))
-    is_record = F.col("doc").isNotNull() & (F.col("fields").isNotNull() | F.is_variant_null("doc"))
-    typed = doc.select(
-        "*", is_record.alias("is_json"), *[D.kind(F.col("doc"), name).alias(f"{name}_kind") for name in _TYPED]
-    ).withColumn("timestamp_raw", D.text(F.col("doc"), "timestamp", F.col("timestamp_kind")))
-    return typed.withColumn("timestamp_instant", timestamps.parse_rfc3339(F.col("timestamp_raw")))
-
-
-def _is_empty_string(name: str) -> Column:
-    return F.try_variant_get("doc", f"$.{name}", "string") == ""
+    known = (
+        df.withColumn("doc", F.try_parse_json(value))
+        .withColumn("_known", D.members(F.col("doc"), _TYPED))
+        .select("*", *[D.kind(F.col(f"_known.{n}")).alias(f"{n}_kind") for n in _TYPED])
+    )
+    is_record = F.col("doc").isNotNull() & (F.col("_known").isNotNull() | F.is_variant_null("doc"))
+    valued = known.select(
+        *[c for c in known.columns if c != "_known"],
+        is_record.alias("is_json"),
+        *[D.text(F.col(f"_known.{n}"), F.col(f"{n}_kind")).alias(f"{n}_text") for n in _TEXTS],
+        *[D.number(F.col(f"_known.{n}"), F.col(f"{n}_kind")).alias(f"{n}_number") for n in _NUMBERS],
+    ).withColumn("timestamp_instant", timestamps.parse_rfc3339(F.col("timestamp_text")))
+    return computed_once(valued, [c for c in valued.columns if c not in df.columns])
 
 
 def required_fields_reason() -> Column:
     """The first rule a parsed message breaks, null when it breaks none."""
     def bad_id(name):
-        kind = F.col(f"{name}_kind")
-        return kind.isNotNull() & (~D.is_string(kind) | _is_empty_string(name))
+        return F.col(f"{name}_kind").isNotNull() & F.coalesce(F.col(f"{name}_text") == "", F.lit(True))
 
-    bad_timestamp = F.col("timestamp_raw").isNotNull() & F.col("timestamp_instant").isNull()
     return (
         F.when(~F.col("is_json"), BAD_JSON)
         .when(F.col("device_id_kind").isNull() & F.col("sensor_id_kind").isNull(), NO_ID)
         .when(bad_id("device_id"), BAD_DEVICE)
         .when(bad_id("sensor_id"), BAD_SENSOR)
-        .when(bad_timestamp, BAD_TIMESTAMP)
+        .when(F.col("timestamp_text").isNotNull() & F.col("timestamp_instant").isNull(), BAD_TIMESTAMP)
     )
 
 
 def ingest_accepts() -> Column:
     """Accepted at the front door: the device_id key is there and is not the empty string."""
-    return (
-        F.col("is_json")
-        & F.col("device_id_kind").isNotNull()
-        & ~(D.is_string(F.col("device_id_kind")) & _is_empty_string("device_id"))
-    )
+    return F.col("is_json") & F.col("device_id_kind").isNotNull() & F.coalesce(F.col("device_id_text") != "", F.lit(True))
 
 
 def accepted_at_ingest(df: DataFrame, value: str = "value") -> DataFrame:
@@ -67,7 +68,7 @@ def accepted_at_ingest(df: DataFrame, value: str = "value") -> DataFrame:
     parsed = parse_messages(df, value)
     return parsed.filter(ingest_accepts()).select(
         *[c for c in df.columns if c != "key"],
-        D.text(F.col("doc"), "device_id", F.col("device_id_kind")).alias("key"),
+        F.col("device_id_text").alias("key"),
     )
 
 
@@ -80,45 +81,37 @@ def clean_messages(df: DataFrame, value: str = "value", validate: bool = True, n
     if now is None:
         now = F.col("ingest_ts") if "ingest_ts" in df.columns else F.current_timestamp()
     parsed = parse_messages(df, value).withColumn("_now", now.cast("timestamp"))
-    doc = F.col("doc")
-    reason = required_fields_reason() if validate else F.when(~F.col("is_json"), BAD_JSON)
-    raw = parsed.select(
-        "*",
-        reason.alias("reject_reason"),
-        timestamps.from_epoch_seconds(D.number(doc, "timestamp", F.col("timestamp_kind"))).alias("_ts_number"),
-        D.number(doc, "temperature", F.col("temperature_kind")).alias("_temperature"),
-        D.number(doc, "humidity", F.col("humidity_kind")).alias("_humidity"),
-    )
     has_timestamp = F.col("timestamp_kind").isNotNull()
-    ts = F.coalesce("timestamp_instant", "_ts_number", "_now")
+    ts = F.coalesce("timestamp_instant", timestamps.from_epoch_seconds(F.col("timestamp_number")), "_now")
+    as_text = F.when(F.col("timestamp_instant").isNotNull(), F.col("timestamp_text")).otherwise(timestamps.format_rfc3339(ts))
     keys = [F.col(f"{name}_kind").isNotNull() for name in ("device_id", "sensor_id", "timestamp")]
-    wrong_type = F.lit(False)
-    for name in ("device_id", "tenant_id"):
-        wrong_type = wrong_type | ~(D.is_string(F.col(f"{name}_kind")) | D.absent_or_null(F.col(f"{name}_kind")))
-    for name in ("temperature", "humidity"):
-        wrong_type = wrong_type | ~(D.is_number(F.col(f"{name}_kind")) | D.absent_or_null(F.col(f"{name}_kind")))
-    return raw.select(
+    wrong_type = ~_fits(("device_id", "tenant_id"), ("temperature", "humidity"))
+    return parsed.select(
         *df.columns,
         "is_json",
-        "reject_reason",
-        D.text(doc, "device_id", F.col("device_id_kind")).alias("device_id"),
-        D.text(doc, "sensor_id", F.col("sensor_id_kind")).alias("sensor_id"),
-        D.text(doc, "tenant_id", F.col("tenant_id_kind")).alias("tenant_id"),
+        (required_fields_reason() if validate else F.when(~F.col("is_json"), BAD_JSON)).alias("reject_reason"),
+        *[F.col(f"{name}_text").alias(name) for name in ("device_id", "sensor_id", "tenant_id")],
         F.when(has_timestamp, ts).alias("ts"),
-        F.when(
-            has_timestamp,
-            F.when(F.col("timestamp_instant").isNotNull(), F.col("timestamp_raw")).otherwise(timestamps.format_rfc3339(ts)),
-        ).alias("timestamp_text"),
-        F.col("_temperature").alias("temperature"),
-        scoring.clamp_humidity(F.col("_humidity")).alias("humidity"),
-        scoring.temperature_warning(F.col("_temperature")).alias("temperature_warning"),
-        scoring.quality_score(keys, F.col("_temperature")).alias("quality_score"),
+        F.when(has_timestamp, as_text).alias("timestamp_text"),
+        F.col("temperature_number").alias("temperature"),
+        scoring.clamp_humidity(F.col("humidity_number")).alias("humidity"),
+        scoring.temperature_warning(F.col("temperature_number")).alias("temperature_warning"),
+        scoring.quality_score(keys, F.col("temperature_number")).alias("quality_score"),
         F.col("_now").alias("processed_at"),
         wrong_type.alias("type_error"),
-        "fields",
+        D.as_fields(F.col("doc")).alias("fields"),
     )
 
 
+def _fits(texts: tuple[str, ...], numbers: tuple[str, ...]) -> Column:
+    """Every named key is absent, null or of its type."""
+    ok = F.lit(True)
+    for names, test in ((texts, D.is_string), (numbers, D.is_number)):
+        for name in names:
+            ok = ok & (test(F.col(f"{name}_kind")) | D.absent_or_null(F.col(f"{name}_kind")))
+    return ok
+
+
 def to_clean_json(df: DataFrame) -> Column:
     """The clean message as JSON text: known fields rewritten, every other field as it came."""
     def entry(name, value, present):
@@ -163,23 +156,17 @@ def decode_readings(df: DataFrame, value: str = "value") -> DataFrame:
     A value of the wrong type, a numeric timestamp or a text that is no RFC 3339 time spoils the whole record.
     """
     parsed = parse_messages(df, value)
-    doc = F.col("doc")
-
-    def fits(name, test):
-        return test(F.col(f"{name}_kind")) | D.absent_or_null(F.col(f"{name}_kind"))
-
-    ok = F.col("is_json")
-    for name in ("device_id", "tenant_id", "timestamp"):
-        ok = ok & fits(name, D.is_string)
-    for name in ("temperature", "humidity"):
-        ok = ok & fits(name, D.is_number)
-    ok = ok & (F.col("timestamp_raw").isNull() | F.col("timestamp_instant").isNotNull())
+    ok = (
+        F.col("is_json")
+        & _fits(("device_id", "tenant_id", "timestamp"), ("temperature", "humidity"))
+        & (F.col("timestamp_text").isNull() | F.col("timestamp_instant").isNotNull())
+    )
     return parsed.select(
         *df.columns,
-        D.text(doc, "device_id", F.col("device_id_kind")).alias("device_id"),
-        D.text(doc, "tenant_id", F.col("tenant_id_kind")).alias("tenant_id"),
+        F.col("device_id_text").alias("device_id"),
+        F.col("tenant_id_text").alias("tenant_id"),
         F.col("timestamp_instant").alias("ts"),
-        D.number(doc, "temperature", F.col("temperature_kind")).alias("temperature"),
-        D.number(doc, "humidity", F.col("humidity_kind")).alias("humidity"),
+        F.col("temperature_number").alias("temperature"),
+        F.col("humidity_number").alias("humidity"),
         (~ok).alias("type_error"),
     )

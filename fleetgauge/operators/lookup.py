@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +41,11 @@ def _hashable(df: DataFrame) -> list[str]:
             if not any(word in f.dataType.simpleString() for word in ("map<", "variant"))]
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]):
-    """Null-safe equality on all keys."""
-    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
+def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The same rows, with ``columns`` evaluated once.
+
+    The optimizer copies the expression of a column into every filter on it, and all it is made of with it; for a
+    parsed document that means parsing it again for each mention. Passing through a one-row ``inline`` stops that.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*columns)))).select(*df.columns)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetgauge import schemas
-from fleetgauge.operators.ordered import MAX_GROUP_ROWS, rolling_rows
 
 LABELS = ("metric", "tenant_id", "status", "job", "pod", "le")
 MESSAGES = "process_messages_total"
@@ -84,31 +83,32 @@ def match_label(samples: DataFrame, label: str, pattern: str) -> DataFrame:
     return samples.filter(F.col(label).rlike(f"^(?:{pattern})$"))
 
 
-def _increases(samples: DataFrame, range_s: int, step_s: int, max_rows: int) -> DataFrame:
-    """Per series and window, the counter's increase between samples inside the window."""
+def _increases(samples: DataFrame, range_s: int, step_s: int) -> DataFrame:
+    """Per series and window, the counter's increase between samples inside the window.
+
+    Every sample joins the range/step windows it lies in; a group is one series in one window, so it is no longer
+    than the window over the sampling interval.
+    """
     labels = [c for c in LABELS if c in samples.columns]
-    timed = samples.select(*labels, "ts", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("_us"))
-    pairs = rolling_rows(
-        timed, labels, "_us", 2, {"_prev": F.first("value"), "_prev_ts": F.first("ts"), "_n": F.count("ts")}, max_rows
-    ).filter(F.col("_n") == 2)
-    grown = F.when(F.col("value") >= F.col("_prev"), F.col("value") - F.col("_prev")).otherwise(F.col("value"))
-    windowed = pairs.select(
-        *labels, "_prev_ts", grown.alias("_grown"), F.window("ts", f"{range_s} seconds", f"{step_s} seconds").alias("w")
+    placed = samples.select(
+        *labels, "ts", "value", F.window("ts", f"{range_s} seconds", f"{step_s} seconds").alias("w")
     )
+    prev = F.lag("value").over(Window.partitionBy(*labels, "w").orderBy("ts"))
+    grown = F.when(F.col("value") >= F.col("_prev"), F.col("value") - F.col("_prev")).otherwise(F.col("value"))
     return (
-        windowed.filter(F.col("_prev_ts") >= F.col("w.start"))
+        placed.withColumn("_prev", prev)
+        .filter(F.col("_prev").isNotNull())
         .groupBy(*labels, "w")
-        .agg(F.sum("_grown").alias("increase"))
+        .agg(F.sum(grown).alias("increase"))
     )
 
 
 def rate(
-    samples: DataFrame, by: tuple[str, ...] = (), range_s: int = 60, step_s: int | None = None,
-    max_rows: int = MAX_GROUP_ROWS,
+    samples: DataFrame, by: tuple[str, ...] = (), range_s: int = 60, step_s: int | None = None
 ) -> DataFrame:
     """Sum over series of the per-second rate, per window and ``by`` labels."""
     step_s = step_s or range_s
-    grown = _increases(samples, range_s, step_s, max_rows)
+    grown = _increases(samples, range_s, step_s)
     return grown.groupBy(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")).agg(
         (F.sum("increase") / F.lit(float(range_s))).alias("rate")
     )

@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetgauge.operators.lookup import same_keys
-
 MAX_GROUP_ROWS = 4_000_000
 # Hot groups number at most rows / max_rows; up to this many are sent to the tasks as a broadcast table.
 MAX_LISTED_GROUPS = 100_000

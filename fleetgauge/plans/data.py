@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fleetgauge import schemas
 from fleetgauge.operators import process
 from fleetgauge.operators.clean import clean_messages
+from fleetgauge.operators.lookup import computed_once
 from fleetgauge.streaming.pipeline import clean_and_process
 
 AS_OF = "2024-02-01 00:00:00"
@@ -26,7 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def readings_of(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k")
+    k = F.col("k")
+    events = computed_once(events.withColumn("k", F.get_json_object("props", "$.k")), ["k"])
     shift = F.when(F.col("event_type") == "signup", 60.0).otherwise(15.0)
     return events.select(
         F.col("event_id").alias("arrival_seq"),
@@ -101,7 +103,8 @@ def raw_messages_of(source: DataFrame) -> DataFrame:
         part("""concat('"tenant_id":"', tenant_id, '"}')"""),
     )
     value = F.when(F.col("event_id") % 50 == 7, F.lit("{bad json")).otherwise(text)
-    return r.select("arrival_seq", value.alias("value"), F.col("ts").cast("timestamp").alias("ingest_ts"), "latency_seconds")
+    rows = r.select("arrival_seq", value.alias("value"), F.col("ts").cast("timestamp").alias("ingest_ts"), "latency_seconds")
+    return computed_once(rows, ["value"])
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

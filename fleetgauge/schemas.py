@@ -69,21 +69,30 @@ MANAGED_TENANTS = [
 LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0]
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small table written into the plan itself, so that no Python process is needed to produce it."""
+    fields = [part.split() for part in ddl.split(", ")]
+    args = {f"v{i}_{j}": v for i, row in enumerate(rows) for j, v in enumerate(row)}
+    values = ", ".join(f"({', '.join(f':v{i}_{j}' for j in range(len(fields)))})" for i in range(len(rows)))
+    columns = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in fields)
+    return spark.sql(f"SELECT {columns} FROM VALUES {values} AS t({', '.join(n for n, _ in fields)})", args)
+
+
 def tenant_config(spark: SparkSession, rows=ENGINE_TENANTS) -> DataFrame:
-    return spark.createDataFrame(rows, "tenant_id STRING, anomaly_threshold DOUBLE, sampling_rate DOUBLE")
+    return literal_rows(spark, rows, "tenant_id STRING, anomaly_threshold DOUBLE, sampling_rate DOUBLE")
 
 
 def retention_policies(spark: SparkSession, rows=STORAGE_RETENTION) -> DataFrame:
-    return spark.createDataFrame(rows, "tenant_id STRING, days INT")
+    return literal_rows(spark, rows, "tenant_id STRING, days INT")
 
 
 def tiers(spark: SparkSession, rows=TIERS) -> DataFrame:
-    return spark.createDataFrame(
-        rows,
+    return literal_rows(
+        spark, rows,
         "tier STRING, sampling_rate DOUBLE, anomaly_threshold DOUBLE, quota_limit INT, rate_limit INT, "
         "retention_days INT",
     )
 
 
 def managed_tenants(spark: SparkSession, rows=MANAGED_TENANTS) -> DataFrame:
-    return spark.createDataFrame(rows, TENANTS)
+    return literal_rows(spark, rows, TENANTS)

@@ -33,6 +33,8 @@ def local_session(cpus: int = 8, app: str = "fleetgauge", **conf: str) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # Do not record the Python call site of every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
