@@ -1,4 +1,7 @@
-"""Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line."""
+"""Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
+
+Each query runs once to warm up and then $BENCH_RUNS times; the median counts.
+"""
 
 from __future__ import annotations
 
@@ -23,7 +26,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, "bench")
     spark.sparkContext.setLogLevel("ERROR")

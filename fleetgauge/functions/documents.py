@@ -16,6 +16,11 @@ def members(doc: Column, names: Iterable[str]) -> Column:
     return doc.try_cast(f"struct<{', '.join(f'{n}: variant' for n in names)}>")
 
 
+def is_valid(value: Column | str) -> Column:
+    """The text is JSON of any kind, a bare null included."""
+    return F.try_parse_json(value).isNotNull()
+
+
 def kind(value: Column) -> Column:
     """STRING, BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, VOID (JSON null), OBJECT<..>, ARRAY<..>; NULL if absent."""
     return F.schema_of_variant(value)

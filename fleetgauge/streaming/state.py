@@ -29,7 +29,7 @@ def device_state(
 
     A device's readings are spread over ``parts`` states by arrival number. The last ``n`` of the device are among
     the last ``n`` of its parts, so ``merge_device_state`` restores the exact window. ``idle_hours`` forgets devices
-    that stopped sending.
+    that stopped sending; it is for queries that run all the time, as a timeout keeps an ``availableNow`` run from ending.
     """
     long = by_metric(readings, [*keys, seq, ts]).withColumn("part", F.pmod(F.col(seq), F.lit(parts)).cast("int"))
     long = long.select(*keys, "metric", "part", seq, F.col(ts).cast("timestamp").alias("ts"), "value")

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fleetgauge.functions import scoring, timestamps
+from fleetgauge.functions import documents, scoring, timestamps
 from fleetgauge.operators import clean, quality, validate
 
 NOW = "2024-02-01T12:00:00Z"
@@ -49,6 +49,11 @@ REQUIRED = [
 ]
 
 
+def test_json_validity(spark):
+    df = spark.createDataFrame([("{}",), ("null",), ("[1]",), ("{bad",), ("",)], "value STRING")
+    assert [r[0] for r in df.select(documents.is_valid("value")).collect()] == [True, True, True, False, False]
+
+
 def test_required_fields(spark):
     rows = cleaned(spark, [v for v, _ in REQUIRED])
     assert [r.reject_reason for r in rows] == [reason for _, reason in REQUIRED]

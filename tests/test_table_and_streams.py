@@ -126,7 +126,7 @@ def test_device_state_equals_batch(spark, tmp_path):
     folder = str(tmp_path / "in")
     schema, whole = typed_files(spark, folder, 3)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    changes = state.device_state(stream, n=20, parts=4, idle_hours=1)
+    changes = state.device_state(stream, n=20, parts=4)
     (
         changes.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp"))
         .foreachBatch(lambda rows, i: table.write_batch(rows, str(tmp_path / "state"), i, ("batch_id",)))
