@@ -15,7 +15,7 @@ from fleetgauge.plans.catalog import QUERIES
 from fleetgauge.session import local_session
 
 HEADLINE = [
-    "clean_typed", "reject_counts", "pipeline_outcomes", "outcome_counts", "stored_rows", "tenant_stats", "global_stats",
+    "clean_typed", "reject_counts", "message_outcomes", "outcome_counts", "stored_rows", "tenant_stats", "global_stats",
     "device_last_n_stats", "device_rolling", "device_last_seen", "latency_histogram", "tenant_page", "recent_then_tenant",
     "newer_only", "chart_last_20", "running_average", "fanout", "api_key_status", "retention_survivors",
     "retention_deleted_counts", "tenant_changes", "daily_quota", "rows_over_rate_limit", "analytics_result", "counter_rate",

@@ -132,7 +132,7 @@ def processed_rows(spark, sf_dir):
 
 
 @query(data.on_clean("SELECT arrival_seq, tenant_id, outcome FROM pipeline", data.PIPELINE))
-def pipeline_outcomes(spark, sf_dir):
+def message_outcomes(spark, sf_dir):
     return data.pipeline(spark, sf_dir).select("arrival_seq", "tenant_id", "outcome")
 
 

@@ -38,7 +38,7 @@ SELECT arrival_seq AS row_key, device_id, temperature, humidity, is_anomaly, ano
   date_trunc('second', coalesce(CAST(replace(replace(timestamp_text, 'T', ' '), 'Z', '') AS TIMESTAMP), ingest_ts))
     AS timestamp
 FROM pipeline WHERE outcome IN ('normal', 'anomaly')""", data.PIPELINE))
-def stream_pipeline_store(spark, sf_dir):
+def stream_store(spark, sf_dir):
     """Raw text through clean, process and store; the result is the stored table."""
     out = _folder(spark)
     messages = data.raw_messages_of(data.readings_of(_events(spark, sf_dir)))
