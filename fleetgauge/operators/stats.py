@@ -11,6 +11,9 @@ from fleetgauge.operators.lookup import join_dimension
 from fleetgauge.operators.ordered import MAX_GROUP_ROWS, first_rows, rolling_rows
 
 
+DEVICE_PARTS = 8
+
+
 def by_metric(df: DataFrame, keep: list[str], metrics=schemas.METRICS) -> DataFrame:
     """One row per reading and non-null metric: ``keep`` columns, ``metric``, ``value``."""
     return df.select(*keep, *metrics).unpivot(keep, list(metrics), "metric", "value").filter(F.col("value").isNotNull())
@@ -39,13 +42,14 @@ def device_window_stats(
     keys: tuple[str, ...] = ("tenant_id", "device_id"),
     seq: str = "arrival_seq",
     n: int = schemas.DEVICE_WINDOW,
+    parts: int = DEVICE_PARTS,
 ) -> DataFrame:
     """Per device and metric, the last ``n`` readings in arrival order with their average, minimum and maximum.
 
-    Pass ``("device_id",)`` to let equal device names of two tenants share one window.
+    Each device is first cut to ``n`` rows in each of ``parts`` parts, so a busy one is not left to one task. Pass ``("device_id",)`` to let equal device names of two tenants share one window.
     """
     group = [*keys, "metric"]
-    last = first_rows(by_metric(df, [*keys, seq]), group, [F.desc(seq)], n)
+    last = first_rows(by_metric(df, [*keys, seq]), group, [F.desc(seq)], n, parts, seq)
     in_order = F.sort_array(F.collect_list(F.struct(seq, "value")))
     return last.groupBy(*group).agg(
         F.count("value").alias("count"),
