@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetgauge import schemas
+from fleetgauge.functions import documents as D
 from fleetgauge.functions import scoring, timestamps
 from fleetgauge.operators import validate
-from fleetgauge.operators.lookup import join_dimension
+from fleetgauge.operators.lookup import computed_once, join_dimension
 
 OUTCOMES = ("normal", "anomaly", "error", "sampled_out")
 
@@ -91,20 +92,42 @@ def to_processed_json(df: DataFrame) -> Column:
 
 
 def decode_processed(df: DataFrame, value: str = "value") -> DataFrame:
-    """Processed JSON back to columns, as the store reads it; omitted fields are null."""
-    schema = (
-        "device_id STRING, temperature DOUBLE, humidity DOUBLE, timestamp STRING, is_anomaly BOOLEAN, "
-        "anomaly_score DOUBLE, tenant_id STRING"
-    )
-    record = F.from_json(value, schema)
-    return (
-        df.withColumn("_r", record)
+    """Processed JSON back to columns, as the store reads it; omitted fields are null.
+
+    ``type_error`` marks texts that are no record, or hold a value of the wrong type or a timestamp that is no RFC 3339
+    time: the store takes none of them.
+    """
+    texts, numbers, flag = ("device_id", "tenant_id", "timestamp"), ("temperature", "humidity", "anomaly_score"), "is_anomaly"
+    names = (*texts, *numbers, flag)
+    rest = [c for c in df.columns if c != value]
+    kinds = {n: F.col(f"_kinds.{n}") for n in names}
+    fits = F.col("_r").isNotNull()
+    for n in names:
+        right = D.is_string(kinds[n]) if n in texts else D.is_number(kinds[n]) if n in numbers else kinds[n].eqNullSafe("BOOLEAN")
+        fits = fits & (right | D.absent_or_null(kinds[n]))
+    read = (
+        df.select(*rest, D.members(F.try_parse_json(value), names).alias("_r"))
+        .withColumn("_kinds", F.struct(*[D.kind(F.col(f"_r.{n}")).alias(n) for n in names]))
         .select(
-            *[c for c in df.columns if c != value],
-            "_r.device_id", "_r.tenant_id", "_r.temperature", "_r.humidity", "_r.is_anomaly", "_r.anomaly_score",
-            timestamps.parse_rfc3339(F.col("_r.timestamp")).alias("timestamp"),
+            *rest,
+            *[D.text(F.col(f"_r.{n}"), kinds[n]).alias(n) for n in ("device_id", "tenant_id")],
+            *[D.number(F.col(f"_r.{n}"), kinds[n]).alias(n) for n in ("temperature", "humidity")],
+            F.when(kinds[flag] == "BOOLEAN", F.col(f"_r.{flag}").try_cast("boolean")).alias(flag),
+            D.number(F.col("_r.anomaly_score"), kinds["anomaly_score"]).alias("anomaly_score"),
+            D.text(F.col("_r.timestamp"), kinds["timestamp"]).alias("_text"),
+            fits.alias("_fits"),
         )
+        .withColumn("timestamp", timestamps.parse_rfc3339(F.col("_text")))
+        .withColumn("type_error", ~F.col("_fits") | (F.col("_text").isNotNull() & F.col("timestamp").isNull()))
+        .drop("_text", "_fits")
     )
+    return computed_once(read, [c for c in read.columns if c not in rest])
+
+
+def check_for_store(df: DataFrame) -> DataFrame:
+    """Decoded records with ``reject_reason``: null for those that the store takes."""
+    why = F.when(F.col("type_error"), "invalid record").otherwise(validate.reason("store", df.columns))
+    return df.select(*[c for c in df.columns if c != "type_error"], why.alias("reject_reason"))
 
 
 def for_store(df: DataFrame, row_key: str = "arrival_seq", created_at: Column | None = None) -> DataFrame:

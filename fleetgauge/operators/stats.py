@@ -92,7 +92,10 @@ def with_device_stats(
         .groupBy(*keys, seq)
         .agg(*[F.max(F.when(F.col("metric") == m, stat)).alias(f"{m}_stats") for m in schemas.METRICS])
     )
-    return df.join(wide, [*keys, seq], "left")
+    on, added = [*keys, seq], [f"{m}_stats" for m in schemas.METRICS]
+    wide = wide.select(*[F.col(k).alias(f"_own_{k}") for k in on], *added)
+    same = [df[k].eqNullSafe(wide[f"_own_{k}"]) for k in on]
+    return df.join(wide, same, "left").select(*[df[c] for c in df.columns], *added)
 
 
 def device_last_seen(

@@ -254,10 +254,13 @@ def analytics_result(spark, sf_dir):
 
 @query(data.on_processed("""
 SELECT tenant_id, arrival_seq, device_id, measured_at, CAST(temperature AS DOUBLE) AS value, anomaly_score FROM stored
-WHERE is_anomaly QUALIFY row_number() OVER (PARTITION BY tenant_id ORDER BY arrival_seq DESC) <= 100"""))
+WHERE is_anomaly"""))
 def analytics_anomalies(spark, sf_dir):
-    result = analytics.analytics_result(data.stored(spark, sf_dir), ts="measured_at")
-    return data.plain(result.select("tenant_id", F.explode("anomalies").alias("a")).select("tenant_id", "a.*"))
+    """Every anomaly of every tenant, as rows; ``analytics_result`` shows the newest of them."""
+    rows = analytics.tenant_anomalies(data.stored(spark, sf_dir))
+    return data.plain(rows).select(
+        "tenant_id", "arrival_seq", "device_id", "measured_at", F.col("temperature").alias("value"), "anomaly_score"
+    )
 
 
 @query(data.on_processed("SELECT arrival_seq, tenant_id, device_id, anomaly_score FROM stored WHERE is_anomaly"))

@@ -20,7 +20,8 @@ AVG = data.AVG
 
 def _events(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A pattern takes a single file and a folder of part files alike; a plain path must be a folder.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def _folder(spark) -> str:
@@ -67,7 +68,7 @@ def stream_device_state(spark, sf_dir):
         .foreachBatch(write).trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    parts = state.newest_parts(spark.read.parquet(f"{out}/state").drop("batch_id"))
+    parts = state.newest_parts(spark.read.parquet(f"{out}/state"))
     merged = state.merge_device_state(parts)
     shown = [F.round(F.col("avg") + 0.00000013, 6).alias("avg"), "min", "max"]
     return merged.select("tenant_id", "device_id", "metric", "count", *shown)

@@ -15,8 +15,15 @@ TOPIC_PARTITIONS = 6
 
 
 def arrival_seq(partitions: int = TOPIC_PARTITIONS) -> Column:
-    """A unique number per message that grows with the offset of its partition."""
-    return F.col("offset") * F.lit(partitions) + F.col("partition")
+    """A unique number per message that grows with the offset of its partition.
+
+    ``partitions`` is the topic's number of partitions or more; a message of a partition beyond it stops the query,
+    as its number would be that of another message.
+    """
+    beyond = F.raise_error(F.concat(F.lit(f"topic has more than {partitions} partitions: "), F.col("partition").cast("string")))
+    return F.when(F.col("partition") < partitions, F.col("offset") * F.lit(partitions) + F.col("partition")).otherwise(
+        beyond.cast("bigint")
+    )
 
 
 def read_landing(spark: SparkSession, path: str, streaming: bool = False, files_per_trigger: int | None = None):

@@ -14,10 +14,17 @@ from fleetgauge.operators import retention
 
 PARTITIONS = ("tenant_id", "created_date", "batch_id")
 
+# Fixed value: the folder name that stands for a null (or empty) partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The whole table; filters on tenant_id and created_date select folders, the rest reach the Parquet scan."""
-    return spark.read.schema(f"{schemas.SENSOR_DATA}, batch_id BIGINT").parquet(path).drop("batch_id")
+    return _with_batch(spark, path).drop("batch_id")
+
+
+def _with_batch(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{schemas.SENSOR_DATA}, batch_id BIGINT").parquet(path)
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, partitions=PARTITIONS) -> None:
@@ -50,15 +57,19 @@ def new_rows(rows: DataFrame, stored: DataFrame, key: str = "row_key") -> DataFr
 
 
 def append(spark: SparkSession, rows: DataFrame, path: str, batch_id: int) -> None:
-    """Append rows that may be replays of stored ones; only the days that occur in ``rows`` are read back."""
+    """Append rows that may be replays of stored ones; stored rows stay, whatever batch they came with.
+
+    Read back are the days from the first to the last in ``rows``, and rows without a day. What the batch has stored
+    before is written again with its new rows, because a batch's folders are replaced.
+    """
     if not _exists(spark, path):
         write_batch(first_per_key(rows), path, batch_id)
         return
-    days = [r[0] for r in rows.select("created_date").distinct().limit(3661).collect()]
-    stored = read_table(spark, path)
-    if len(days) <= 3660:
-        stored = stored.filter(F.col("created_date").isin(days))
-    write_batch(new_rows(rows, stored), path, batch_id)
+    first, last = rows.agg(F.min("created_date"), F.max("created_date")).first()
+    day = F.col("created_date")
+    stored = _with_batch(spark, path).filter(day.between(F.lit(first), F.lit(last)) | day.isNull())
+    own = stored.filter(F.col("batch_id") == batch_id).select(*rows.columns)
+    write_batch(new_rows(rows, stored).unionByName(own), path, batch_id)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -72,15 +83,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _partition_folders(spark: SparkSession, path: str) -> list[tuple[str, dt.date, str]]:
-    """(tenant, day, folder) of every tenant day: names only, no data is read."""
+def _partition_folders(spark: SparkSession, path: str) -> list[tuple[str | None, dt.date, str]]:
+    """(tenant, day, folder) of every tenant day: names only, no data is read. Rows without a day never expire."""
     fs, _ = _fs(spark, path)
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/tenant_id=*/created_date=*")) or []
     out = []
     for status in found:
         folder = status.getPath()
-        tenant = unquote(folder.getParent().getName().split("=", 1)[1])
-        out.append((tenant, dt.date.fromisoformat(folder.getName().split("=", 1)[1]), folder.toString()))
+        tenant, day = (unquote(p.getName().split("=", 1)[1]) for p in (folder.getParent(), folder))
+        if day != NULL_FOLDER:
+            out.append((None if tenant == NULL_FOLDER else tenant, dt.date.fromisoformat(day), folder.toString()))
     return out
 
 
@@ -91,11 +103,12 @@ def apply_retention(
     """Delete expired rows in place and return the deleted count per tenant.
 
     ``as_of`` is in UTC. Days that end before a tenant's cutoff are dropped as folders; only the day that holds the
-    cutoff is rewritten, through a staging folder. A run that stops half-way can be repeated.
+    cutoff is rewritten, through a staging folder. Rows without a tenant follow the default. A run that stops half-way
+    can be repeated; one whose kept and expired rows do not add up to those read stops before it deletes anything.
     """
     tenants = _partition_folders(spark, path)
     listed = spark.createDataFrame(
-        sorted({(t, d, f) for t, d, f in tenants}), "tenant_id STRING, created_date DATE, folder STRING"
+        tenants, "tenant_id STRING, created_date DATE, folder STRING"
     ) if tenants else spark.createDataFrame([], "tenant_id STRING, created_date DATE, folder STRING")
     now = F.lit(as_of).cast("timestamp")
     limit = retention.cutoff(now, F.coalesce("days", F.lit(default_days)))
@@ -117,19 +130,19 @@ def apply_retention(
         wanted = spark.createDataFrame(
             [(r["tenant_id"], r["created_date"]) for r in edges], "tenant_id STRING, created_date DATE"
         )
-        rows = spark.read.schema(f"{schemas.SENSOR_DATA}, batch_id BIGINT").parquet(path).filter(
-            F.col("created_date").isin(sorted({r["created_date"] for r in edges}))
-        ).join(F.broadcast(wanted), ["tenant_id", "created_date"], "left_semi")
-        kept = retention.survivors(rows, policies, now, default_days)
-        kept.write.partitionBy(*PARTITIONS).parquet(staging)
+        stored = _with_batch(spark, path).filter(F.col("created_date").isin(sorted({r["created_date"] for r in edges})))
+        same = stored["tenant_id"].eqNullSafe(wanted["tenant_id"]) & (stored["created_date"] == wanted["created_date"])
+        rows = stored.join(wanted, same, "left_semi")
+        retention.survivors(rows, policies, now, default_days).write.partitionBy(*PARTITIONS).parquet(staging)
+        staged = _with_batch(spark, staging)
+        gone = retention.deleted_counts(rows, policies, now, default_days).agg(F.coalesce(F.sum("deleted"), F.lit(0)))
+        if staged.count() + gone.first()[0] != rows.count():
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(staging), True)
+            raise RuntimeError("kept and expired rows do not add up to the rows read; nothing was deleted")
         left = {
-            (r["tenant_id"], r["created_date"], r["batch_id"])
-            for r in spark.read.schema(f"{schemas.SENSOR_DATA}, batch_id BIGINT").parquet(staging)
-            .select(*PARTITIONS).distinct().collect()
+            (r["tenant_id"], r["created_date"], r["batch_id"]) for r in staged.select(*PARTITIONS).distinct().collect()
         }
-        spark.read.schema(f"{schemas.SENSOR_DATA}, batch_id BIGINT").parquet(staging).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*PARTITIONS).parquet(path)
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
         for r in edges:
             _drop_batches(spark, fs, r, left)
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(staging), True)

@@ -88,11 +88,10 @@ def start_newer_only(
         try:
             before = _newest_before(spark, newest_path, batch_id, batch, keys, ts)
             fresh = newer_only(batch, keys, seq, ts, max_rows)
-            known = before.select(*keys, F.col("newest").alias("_seen"))
-            kept = fresh.join(known, list(keys), "left").filter(
-                F.col("_seen").isNull() | (F.col(ts) > F.col("_seen"))
-            )
-            write_batch(kept.drop("_seen"), path, batch_id, ("batch_id",))
+            known = before.select(*[F.col(k).alias(f"_known_{k}") for k in keys], F.col("newest").alias("_seen"))
+            same = [fresh[k].eqNullSafe(known[f"_known_{k}"]) for k in keys]
+            kept = fresh.join(known, same, "left").filter(F.col("_seen").isNull() | (F.col(ts) > F.col("_seen")))
+            write_batch(kept.select(*batch.columns), path, batch_id, ("batch_id",))
             here = batch.groupBy(*keys).agg(F.max(ts).alias("newest"))
             after = before.unionByName(here).groupBy(*keys).agg(F.max("newest").alias("newest"))
             write_batch(after, newest_path, batch_id, ("batch_id",))

@@ -27,12 +27,14 @@ def device_state(
 ) -> DataFrame:
     """Stream of changed state parts: keys, metric, part, the part's last ``n`` readings by arrival number.
 
-    A device's readings are spread over ``parts`` states by arrival number. The last ``n`` of the device are among
+    A device's readings are spread over ``parts`` states by a hash of the arrival number, as the numbers of one device
+    may all fall in one topic partition. A reading without a time counts as seen now. The last ``n`` of the device are among
     the last ``n`` of its parts, so ``merge_device_state`` restores the exact window. ``idle_hours`` forgets devices
     that stopped sending; it is for queries that run all the time, as a timeout keeps an ``availableNow`` run from ending.
     """
-    long = by_metric(readings, [*keys, seq, ts]).withColumn("part", F.pmod(F.col(seq), F.lit(parts)).cast("int"))
-    long = long.select(*keys, "metric", "part", seq, F.col(ts).cast("timestamp").alias("ts"), "value")
+    long = by_metric(readings, [*keys, seq, ts]).withColumn("part", F.pmod(F.xxhash64(seq), F.lit(parts)).cast("int"))
+    seen = F.coalesce(F.col(ts).cast("timestamp"), F.current_timestamp())
+    long = long.select(*keys, "metric", "part", seq, seen.alias("ts"), "value")
     group = [*keys, "metric", "part"]
     out_schema = ", ".join([f"{k} STRING" for k in keys]) + (
         ", metric STRING, part INT, seqs ARRAY<BIGINT>, readings ARRAY<DOUBLE>, last_seq BIGINT, last_seen TIMESTAMP"
@@ -75,11 +77,16 @@ def device_state(
     )
 
 
-def newest_parts(changes: DataFrame, keys: tuple[str, ...] = ("tenant_id", "device_id")) -> DataFrame:
-    """The last version of every part from the written changes."""
+def newest_parts(
+    changes: DataFrame, keys: tuple[str, ...] = ("tenant_id", "device_id"), version: str = "batch_id"
+) -> DataFrame:
+    """The last version of every part from the written changes, which carry the batch that wrote them as ``version``.
+
+    A late batch may change a part without raising its highest arrival number, so only the batch tells versions apart.
+    """
     group = [*keys, "metric", "part"]
-    rest = [c for c in changes.columns if c not in group]
-    return changes.groupBy(*group).agg(F.max_by(F.struct(*rest), "last_seq").alias("_p")).select(*group, "_p.*")
+    rest = [c for c in changes.columns if c not in (*group, version)]
+    return changes.groupBy(*group).agg(F.max_by(F.struct(*rest), version).alias("_p")).select(*group, "_p.*")
 
 
 def merge_device_state(

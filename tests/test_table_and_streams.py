@@ -37,6 +37,68 @@ def test_append_ignores_replays(spark, tmp_path):
     assert keys(recent.tenant_rows(table.read_table(spark, path), "å/测 试")) == [2]
 
 
+def test_append_keeps_what_the_batch_stored_before(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table.append(spark, stored(spark, [(1, "a", T0)]), path, 0)
+    table.append(spark, stored(spark, [(3, "a", T0)]), path, 1)
+    table.append(spark, stored(spark, [(3, "a", T0), (4, "a", T0)]), path, 1)
+    assert keys(table.read_table(spark, path)) == [1, 3, 4]
+
+
+def test_retention_of_rows_without_a_tenant(spark, tmp_path):
+    path, as_of = str(tmp_path / "t"), dt.datetime(2024, 6, 1, 12)
+    edge = as_of - dt.timedelta(days=schemas.DEFAULT_RETENTION_DAYS)
+    ages = [dt.timedelta(seconds=1), dt.timedelta(seconds=-1), dt.timedelta(days=3), dt.timedelta(days=-3)]
+    table.write_batch(stored(spark, [(i, None, edge + age) for i, age in enumerate(ages)]), path, 0)
+    counts = table.apply_retention(spark, path, schemas.retention_policies(spark), as_of)
+    assert [tuple(r) for r in counts.collect()] == [(None, 2)]
+    assert keys(table.read_table(spark, path)) == [0, 2]
+
+
+def test_store_takes_no_undecodable_message(spark):
+    good = '{"device_id":"d","tenant_id":"t","temperature":1.5,"timestamp":"2024-03-01T00:00:00Z","is_anomaly":true}'
+    bad = ['{bad', '', '[]', '{"device_id":"d","tenant_id":"t","temperature":"hot"}', '{"device_id":"d","tenant_id":"t","timestamp":5}',
+           '{"device_id":7,"tenant_id":"t"}', '{"device_id":"d"}', None]
+    rows = spark.createDataFrame(list(enumerate([good, *bad])), "arrival_seq BIGINT, value STRING")
+    checked = {r.arrival_seq: r for r in process.check_for_store(process.decode_processed(rows)).collect()}
+    assert [i for i, r in checked.items() if r.reject_reason is None] == [0]
+    assert (checked[0].temperature, checked[0].is_anomaly, checked[7].reject_reason) == (1.5, True, "tenant_id is required")
+
+
+def test_topic_with_more_partitions_than_stated_stops(spark):
+    rows = spark.createDataFrame([(6, 0)], "partition INT, offset BIGINT")
+    with pytest.raises(Exception, match="more than 6 partitions"):
+        rows.select(messages.arrival_seq()).collect()
+    assert rows.select(messages.arrival_seq(12)).first()[0] == 6
+
+
+def test_late_batch_and_missing_time_in_device_state(spark, tmp_path):
+    schema = "tenant_id STRING, device_id STRING, arrival_seq BIGINT, ts TIMESTAMP, temperature DOUBLE, humidity DOUBLE"
+    live = str(tmp_path / "live")
+    for seqs in ([5], [1, 2]):
+        rows = [("t", "d", s, None if s == 2 else T0, float(s), None) for s in seqs]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(live)
+        changes = state.device_state(spark.readStream.schema(schema).parquet(live), n=20, parts=1)
+        (
+            changes.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "cp"))
+            .foreachBatch(lambda rows, i: table.write_batch(rows, str(tmp_path / "state"), i, ("batch_id",)))
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    got = state.merge_device_state(state.newest_parts(spark.read.parquet(str(tmp_path / "state"))), n=20)
+    assert [tuple(r) for r in got.select("metric", "count", "readings").collect()] == [("temperature", 3, [1.0, 2.0, 5.0])]
+
+
+def test_newer_only_of_a_null_key_across_batches(spark, tmp_path):
+    schema, live = "arrival_seq BIGINT, tenant_id STRING, ts TIMESTAMP", str(tmp_path / "live")
+    for seq, late in ((1, 0), (2, -60), (3, 60)):
+        spark.createDataFrame([(seq, None, T0 + dt.timedelta(seconds=late))], schema).write.mode("append").parquet(live)
+        pipeline.start_newer_only(
+            spark.readStream.schema(schema).parquet(live), str(tmp_path / "cp"), str(tmp_path / "kept"),
+            str(tmp_path / "newest"), once=True,
+        ).awaitTermination()
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "kept")).select("arrival_seq").collect()) == [1, 3]
+
+
 def test_tenant_filter_selects_folders(spark, tmp_path):
     path = str(tmp_path / "t")
     table.write_batch(stored(spark, [(1, "a", T0), (2, "b", T0)]), path, 0)
@@ -132,7 +194,7 @@ def test_device_state_equals_batch(spark, tmp_path):
         .foreachBatch(lambda rows, i: table.write_batch(rows, str(tmp_path / "state"), i, ("batch_id",)))
         .trigger(availableNow=True).start().awaitTermination()
     )
-    parts = state.newest_parts(spark.read.parquet(str(tmp_path / "state")).drop("batch_id"))
+    parts = state.newest_parts(spark.read.parquet(str(tmp_path / "state")))
     got = state.merge_device_state(parts, n=20)
     expected = stats.device_window_stats(whole, n=20)
     columns = ["tenant_id", "device_id", "metric", "count", "min", "max", "readings"]
