@@ -35,7 +35,10 @@ SHARD_ROWS = 16_384
 #: Sampled fingerprints for each shard, and at most; a sample that is too small makes shards uneven, not results wrong.
 SAMPLE_EACH = 64
 SAMPLE_MAX = 1 << 18
+SAMPLE_LEAST = 8
 LEAF = 64
+#: Vantage points tried for a node.
+VANTAGES = 8
 #: Hashes whose bits are counted in one go.
 HASHES_AT_ONCE = 1 << 16
 
@@ -73,22 +76,28 @@ def distance(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
 class Tree:
     """A vantage-point tree over fingerprints. Nodes are (vantage, radius, near, far); leaves are numbered."""
 
-    def __init__(self, points: np.ndarray, leaf: int, leaves: int | None = None):
+    def __init__(self, points: np.ndarray, leaf: int):
         self.leaves: list[np.ndarray] = []
         self.leaf = leaf
-        self.root = self._build(points, np.arange(len(points)), leaves or len(points) + 1)
-
-    def _build(self, points: np.ndarray, own: np.ndarray, leaves: int):
-        if leaves > 1 and len(own) > self.leaf:
-            # Several vantage points are tried: fingerprints that are all as far from one can be told apart from another.
-            for at in np.linspace(0, len(own) - 1, 8).astype(int):
+        self.root = self._build(points, np.arange(len(points)))
+
+    def _build(self, points: np.ndarray, own: np.ndarray):
+        if len(own) > self.leaf:
+            # The vantage point and radius that halve the points best: fingerprints that are all as far from one vantage
+            # point can be told apart from another.
+            best = (0, None, None)
+            for at in np.linspace(0, len(own) - 1, VANTAGES).astype(int):
                 d = distance(points[own], points[own[at]])
                 radius = int(np.partition(d, len(d) // 2)[len(d) // 2])
                 for r in (radius, radius - 1):
-                    near = d <= r
-                    if min(near.sum(), (~near).sum()) * 8 >= len(own):
-                        return (points[own[at]], r, self._build(points, own[near], leaves // 2),
-                                self._build(points, own[~near], leaves // 2))
+                    near = int((d <= r).sum())
+                    best = max(best, (min(near, len(own) - near), at, r), key=lambda x: x[0])
+                if best[0] * 5 >= len(own) * 2:
+                    break
+            smaller, at, r = best
+            if smaller * 8 >= len(own):
+                near = distance(points[own], points[own[at]]) <= r
+                return points[own[at]], r, self._build(points, own[near]), self._build(points, own[~near])
         self.leaves.append(own)
         return len(self.leaves) - 1
 
@@ -112,7 +121,7 @@ def shard_tree(fps: DataFrame, shard_rows: int = SHARD_ROWS) -> Tree:
     shards = 1 << max(0, math.ceil(math.log2(max(fps.count(), 1) / shard_rows)))
     size = min(SAMPLE_EACH * shards, SAMPLE_MAX) if shards > 1 else 1
     sample = fps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(size).toPandas()["fp"].to_numpy(np.int64)
-    return Tree(sample.view(np.uint64), 8, shards)
+    return Tree(sample.view(np.uint64), max(SAMPLE_LEAST, size // shards))
 
 
 def linked(fps: np.ndarray, member: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +182,8 @@ def links(fps: DataFrame, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> Dat
         return pa.table({"a": values[found].view(np.int64), "b": values[first].view(np.int64)})
 
     dealt = map_arrow(fps.select("fp"), deal, "shard int, fp bigint, member boolean")
-    return dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(search, "a bigint, b bigint")
+    # Shards are numbered, so each gets a task of its own; hashed, several would meet in one.
+    return dealt.repartitionById(shards, "shard").groupBy("shard").applyInArrow(search, "a bigint, b bigint")
 
 
 def groups(fingerprints: DataFrame, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
