@@ -153,9 +153,11 @@ def reject_counts(df: DataFrame) -> DataFrame:
 def decode_readings(df: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to typed readings without cleaning; ``type_error`` marks records that do not fit.
 
-    A value of the wrong type, a numeric timestamp or a text that is no RFC 3339 time spoils the whole record.
+    A value of the wrong type, a numeric timestamp or a text that is no RFC 3339 time spoils the whole record. ``lat`` and
+    ``lng`` are the numbers in ``location``.
     """
-    parsed = parse_messages(df, value)
+    place = D.members(D.members(F.col("doc"), ("location",))["location"], ("lat", "lng"))
+    parsed = parse_messages(df, value).withColumn("_place", place)
     ok = (
         F.col("is_json")
         & _fits(("device_id", "tenant_id", "timestamp"), ("temperature", "humidity"))
@@ -168,5 +170,7 @@ def decode_readings(df: DataFrame, value: str = "value") -> DataFrame:
         F.col("timestamp_instant").alias("ts"),
         F.col("temperature_number").alias("temperature"),
         F.col("humidity_number").alias("humidity"),
+        *[D.number(F.col(f"_place.{n}"), D.kind(F.col(f"_place.{n}"))).alias(n) for n in ("lat", "lng")],
+        "is_json",
         (~ok).alias("type_error"),
     )

@@ -22,10 +22,12 @@ RECORDS = "records_by_tenant"
 def metric_samples(
     processed: DataFrame, every: str = "1 minute", ts: str = "timestamp", latency: str = "latency_seconds",
     job: str = "processing-engine", pod: Column | None = None, bounds=schemas.LATENCY_BOUNDS,
+    metrics: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Counters, a latency histogram and a row gauge as they stand at the end of each interval with messages.
 
-    Rows are first counted per interval and labels, so the running totals work on that small table.
+    Rows are first counted per interval and labels, so the running totals work on that small table. ``metrics`` builds
+    only the named ones.
     """
     pod = F.lit(f"{job}-0") if pod is None else pod
     done = processed.withColumn("pod", pod).withColumn("ts", F.window(ts, every)["end"])
@@ -41,6 +43,8 @@ def metric_samples(
     null = F.lit(None)
 
     def sample(metric, value, tenant=null, status=null, le=null, when=None):
+        if metrics is not None and metric not in metrics:
+            return None
         s = F.struct(
             F.lit(metric).alias("metric"), tenant.cast("string").alias("tenant_id"),
             status.cast("string").alias("status"), le.cast("double").alias("le"), value.cast("double").alias("value"),
@@ -60,6 +64,9 @@ def metric_samples(
         sample(f"{LATENCY}_bucket", F.col(f"b{i}"), tenant=tenant, le=F.lit(float(b)), when=ok)
         for i, b in enumerate(bounds)
     ]
+    samples = [s for s in samples if s is not None]
+    if not samples:
+        raise ValueError(f"none of the metrics {metrics} is known")
     long = per_interval.select("ts", "pod", F.inline(F.array_compact(F.array(*samples))))
     series = ["metric", "tenant_id", "status", "pod", "le"]
     steps = long.groupBy("ts", *series).agg(F.sum("value").alias("value"))
@@ -103,17 +110,24 @@ def _increases(samples: DataFrame, range_s: int, step_s: int) -> DataFrame:
     )
 
 
-def rate(
+def increase(
     samples: DataFrame, by: tuple[str, ...] = (), range_s: int = 60, step_s: int | None = None
 ) -> DataFrame:
-    """Sum over series of the per-second rate, per window and ``by`` labels."""
-    step_s = step_s or range_s
-    grown = _increases(samples, range_s, step_s)
+    """Sum over series of the counters' increase, per window and ``by`` labels."""
+    grown = _increases(samples, range_s, step_s or range_s)
     return grown.groupBy(*by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")).agg(
-        (F.sum("increase") / F.lit(float(range_s))).alias("rate")
+        F.sum("increase").alias("increase")
     )
 
 
+def rate(
+    samples: DataFrame, by: tuple[str, ...] = (), range_s: int = 60, step_s: int | None = None
+) -> DataFrame:
+    """Sum over series of the per-second rate, per window and ``by`` labels."""
+    grown = increase(samples, by, range_s, step_s)
+    return grown.withColumn("rate", F.col("increase") / F.lit(float(range_s))).drop("increase")
+
+
 def quantile_of_buckets(buckets: DataFrame, q: float, by: list[str], value: str = "value") -> DataFrame:
     """Quantile from cumulative bucket values (``le``), linear inside a bucket.
 
@@ -145,17 +159,22 @@ def histogram_quantile(
     samples: DataFrame, q: float, metric: str = LATENCY, by: tuple[str, ...] = ("tenant_id",), range_s: int = 300,
     step_s: int | None = None,
 ) -> DataFrame:
-    """Quantile of a histogram metric from the rates of its buckets, per window and ``by`` labels."""
-    buckets = rate(select_series(samples, f"{metric}_bucket"), (*by, "le"), range_s, step_s)
-    return quantile_of_buckets(buckets, q, [*by, "window_start", "window_end"], "rate")
+    """Quantile of a histogram metric from the growth of its buckets, per window and ``by`` labels.
 
+    All buckets of a window grow over the same range, so their increases give the quantile of their rates.
+    """
+    buckets = increase(select_series(samples, f"{metric}_bucket"), (*by, "le"), range_s, step_s)
+    return quantile_of_buckets(buckets, q, [*by, "window_start", "window_end"], "increase")
 
-def error_percent(samples: DataFrame, metric: str = MESSAGES, range_s: int = 60, step_s: int | None = None) -> DataFrame:
-    """Share of errors among all messages per window; null without messages."""
-    rates = rate(select_series(samples, metric), ("status",), range_s, step_s)
-    errors = F.sum(F.when(F.col("status") == "error", F.col("rate")).otherwise(0.0))
-    return rates.groupBy("window_start", "window_end").agg(
-        (F.try_divide(errors, F.sum("rate")) * 100.0).alias("error_percent")
+
+def error_percent(
+    samples: DataFrame, metric: str = MESSAGES, by: tuple[str, ...] = (), range_s: int = 60, step_s: int | None = None
+) -> DataFrame:
+    """Share of errors among all messages per window and ``by`` labels; null without messages."""
+    grown = increase(select_series(samples, metric), (*by, "status"), range_s, step_s)
+    errors = F.sum(F.when(F.col("status") == "error", F.col("increase")).otherwise(0.0))
+    return grown.groupBy(*by, "window_start", "window_end").agg(
+        (F.try_divide(errors, F.sum("increase")) * 100.0).alias("error_percent")
     )
 
 
@@ -171,11 +190,12 @@ def latest_sum(samples: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def mean_latency(samples: DataFrame, metric: str = LATENCY, by: tuple[str, ...] = ("tenant_id",)) -> DataFrame:
-    """Total observed latency over the number of observations."""
+    """Total observed latency over the number of observations; totals are added up in whole microseconds."""
     last = latest(samples.filter(F.col("metric").isin(f"{metric}_sum", f"{metric}_count")))
 
     def total(suffix):
-        return F.sum(F.when(F.col("metric") == f"{metric}_{suffix}", F.col("value")))
+        value = F.when(F.col("metric") == f"{metric}_{suffix}", F.col("value"))
+        return F.sum(value.cast("decimal(28,6)")).cast("double")
 
     return last.groupBy(*by).agg(F.try_divide(total("sum"), total("count")).alias("mean_latency"))
 

@@ -51,16 +51,12 @@ def of_known_tenants(df: DataFrame, tenants: DataFrame) -> DataFrame:
 
 def with_tier_config(df: DataFrame, tiers: DataFrame, tier: str = "tier") -> DataFrame:
     """Add the settings of the tier in any letter case; an unknown tier gets those of the standard one."""
-    known = [r["tier"] for r in tiers.select("tier").limit(1001).collect()]
-    if len(known) > 1000:
-        raise ValueError("a tier table has at most 1000 rows")
     settings = [c for c in tiers.columns if c != "tier"]
-    name = F.lower(F.col(tier))
-    chosen = F.when(name.isin(known), name).otherwise(F.lit(schemas.DEFAULT_TIER))
+    names = tiers.select(F.col("tier").alias("_name"), F.col("tier").alias("config_tier"))
+    named = join_dimension(df.withColumn("_name", F.lower(F.col(tier))), names, "_name").drop("_name")
+    named = named.withColumn("config_tier", F.coalesce("config_tier", F.lit(schemas.DEFAULT_TIER)))
     dim = tiers.select(F.col("tier").alias("config_tier"), *settings)
-    return df.withColumn("config_tier", chosen).join(F.broadcast(dim), "config_tier", "left").select(
-        *df.columns, "config_tier", *settings
-    )
+    return join_dimension(named, dim, "config_tier").select(*df.columns, "config_tier", *settings)
 
 
 def tenant_counts(tenants: DataFrame) -> DataFrame:

@@ -137,12 +137,11 @@ def chart_initial_load(spark, sf_dir):
 
 
 @query(data.on_processed(f"""
-SELECT {_ROW_SQL}, round(CAST(temperature AS DOUBLE) + 0.013E0, 1) AS shown FROM stored
+SELECT {_ROW_SQL}, CAST(round(temperature, 1) AS DOUBLE) AS shown FROM stored
 QUALIFY row_number() OVER (PARTITION BY tenant_id ORDER BY arrival_seq DESC) <= 20"""))
 def timeline(spark, sf_dir):
-    rows = data.plain(recent.timeline(_rows(spark, sf_dir)))
-    # The values have two decimals; the shift keeps them off the rounding edge, where engines differ.
-    return rows.withColumn("shown", scoring.display(F.col("temperature") + 0.013))
+    rows = recent.timeline(_rows(spark, sf_dir))
+    return data.plain(rows.withColumn("shown", scoring.display(F.col("temperature"))))
 
 
 @query(data.on_processed("""

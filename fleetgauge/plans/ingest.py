@@ -179,8 +179,7 @@ def record_checks(spark, sf_dir):
 SELECT arrival_seq, CASE {_CONTRACT} END AS reject_reason FROM clean WHERE j IS NOT NULL"""))
 def contract_check(spark, sf_dir):
     rows = clean.decode_readings(data.raw_messages(spark, sf_dir))
-    valid = rows.filter(F.try_parse_json("value").isNotNull())
-    return validate.check(valid, "contract").select("arrival_seq", "reject_reason")
+    return validate.check(rows.filter("is_json"), "contract").select("arrival_seq", "reject_reason")
 
 
 @query(data.on_processed("""

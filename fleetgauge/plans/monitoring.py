@@ -14,10 +14,11 @@ EVERY = "1 hour"
 RANGE_S = 86_400
 
 
-def samples(spark, sf_dir):
+def samples(spark, sf_dir, *metrics):
+    """The named metrics, or all."""
     rows = data.pipeline(spark, sf_dir).withColumn("timestamp", F.col("ingest_ts"))
     pod = F.concat(F.lit("processing-engine-"), (F.col("arrival_seq") % 3).cast("string"))
-    return monitor.metric_samples(data.exact(rows), EVERY, "ingest_ts", pod=pod)
+    return monitor.metric_samples(data.exact(rows), EVERY, "ingest_ts", pod=pod, metrics=metrics or None)
 
 
 _BOUNDS = ", ".join(f"({b}E0)" for b in schemas.LATENCY_BOUNDS)
@@ -54,9 +55,9 @@ def on_samples(body: str) -> str:
 
 @query(on_samples(f"""
 SELECT metric, tenant_id, status, job, pod, CASE WHEN isinf(le) THEN '+Inf' ELSE CAST(le AS VARCHAR) END AS le, ts,
-  round(value, 3) AS value FROM samples WHERE metric <> '{monitor.LATENCY}_sum'"""))
+  round(value, 3) AS value FROM samples"""))
 def metric_samples(spark, sf_dir):
-    rows = samples(spark, sf_dir).filter(F.col("metric") != f"{monitor.LATENCY}_sum")
+    rows = samples(spark, sf_dir)
     le = F.when(F.col("le") == float("inf"), "+Inf").otherwise(F.col("le").cast("string"))
     return rows.withColumn("le", le).withColumn("value", F.round("value", 3))
 
@@ -65,7 +66,7 @@ def metric_samples(spark, sf_dir):
 SELECT status, window_start, window_start + INTERVAL 1 DAY AS window_end, sum(g) / {RANGE_S}.0E0 AS rate
 FROM grown WHERE metric = '{monitor.MESSAGES}' GROUP BY ALL"""))
 def counter_rate(spark, sf_dir):
-    counters = monitor.select_series(samples(spark, sf_dir), monitor.MESSAGES)
+    counters = monitor.select_series(samples(spark, sf_dir, monitor.MESSAGES), monitor.MESSAGES)
     return monitor.rate(counters, ("status",), RANGE_S)
 
 
@@ -73,35 +74,41 @@ def counter_rate(spark, sf_dir):
 SELECT tenant_id, window_start, window_start + INTERVAL 1 DAY AS window_end, sum(g) / {RANGE_S}.0E0 AS rate
 FROM grown WHERE metric = '{monitor.TENANT_MESSAGES}' GROUP BY ALL"""))
 def tenant_rate(spark, sf_dir):
-    counters = monitor.select_series(samples(spark, sf_dir), monitor.TENANT_MESSAGES)
+    counters = monitor.select_series(samples(spark, sf_dir, monitor.TENANT_MESSAGES), monitor.TENANT_MESSAGES)
     return monitor.rate(counters, ("tenant_id",), RANGE_S)
 
 
 @query(on_samples(f"""
-SELECT tenant_id, window_start, window_start + INTERVAL 1 DAY AS window_end, round(CASE WHEN total <= 0 THEN NULL
+SELECT tenant_id, window_start, window_start + INTERVAL 1 DAY AS window_end, CASE WHEN total <= 0 THEN NULL
     WHEN isinf(le) THEN prev_le
-    ELSE coalesce(prev_le, 0) + (le - coalesce(prev_le, 0)) * (total * 0.95E0 - coalesce(below, 0)) / nullif(cum - coalesce(below, 0), 0)
-    END + 0.00000013E0, 6) AS quantile
+    ELSE coalesce(prev_le, 0) + (le - coalesce(prev_le, 0)) * ((total * 0.95E0 - coalesce(below, 0)) / nullif(cum - coalesce(below, 0), 0))
+    END AS quantile
 FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, window_start ORDER BY le) AS hit FROM (
   SELECT tenant_id, window_start, le, cum, lag(le) OVER b AS prev_le, lag(cum) OVER b AS below,
     max(cum) OVER (PARTITION BY tenant_id, window_start) AS total
-  FROM (SELECT tenant_id, window_start, le, sum(g) / {RANGE_S}.0E0 AS cum FROM grown WHERE metric = '{monitor.LATENCY}_bucket'
+  FROM (SELECT tenant_id, window_start, le, sum(g) AS cum FROM grown WHERE metric = '{monitor.LATENCY}_bucket'
         GROUP BY ALL)
   WINDOW b AS (PARTITION BY tenant_id, window_start ORDER BY le)) WHERE cum >= total * 0.95E0)
 WHERE hit = 1"""))
 def histogram_p95(spark, sf_dir):
-    rows = monitor.histogram_quantile(samples(spark, sf_dir), 0.95, range_s=RANGE_S)
-    # The shift keeps the values off the rounding edge, where engines differ.
-    return rows.withColumn("quantile", F.round(F.col("quantile") + 0.00000013, 6))
+    return monitor.histogram_quantile(samples(spark, sf_dir, f"{monitor.LATENCY}_bucket"), 0.95, range_s=RANGE_S)
 
 
 @query(on_samples(f"""
 SELECT window_start, window_start + INTERVAL 1 DAY AS window_end,
-  round(100.0E0 * sum(g) FILTER (WHERE status = 'error') / sum(g) + 0.00000013E0, 6) AS error_percent
+  coalesce(sum(g) FILTER (WHERE status = 'error'), 0) / nullif(sum(g), 0) * 100.0E0 AS error_percent
 FROM grown WHERE metric = '{monitor.MESSAGES}' GROUP BY ALL"""))
 def error_percent(spark, sf_dir):
-    rows = monitor.error_percent(samples(spark, sf_dir), range_s=RANGE_S)
-    return rows.withColumn("error_percent", F.round(F.col("error_percent") + 0.00000013, 6))
+    return monitor.error_percent(samples(spark, sf_dir, monitor.MESSAGES), range_s=RANGE_S)
+
+
+@query(on_samples(f"""
+SELECT job, pod, window_start, window_start + INTERVAL 1 DAY AS window_end,
+  coalesce(sum(g) FILTER (WHERE status = 'error'), 0) / nullif(sum(g), 0) * 100.0E0 AS error_percent
+FROM grown WHERE metric = '{monitor.MESSAGES}' GROUP BY ALL"""))
+def error_percent_by_job(spark, sf_dir):
+    rows = samples(spark, sf_dir, monitor.MESSAGES)
+    return monitor.error_percent(rows, by=("job", "pod"), range_s=RANGE_S)
 
 
 _LATEST = """(SELECT * FROM samples
@@ -110,35 +117,36 @@ _LATEST = """(SELECT * FROM samples
 
 @query(on_samples(f"SELECT status, sum(value) AS value FROM {_LATEST} WHERE metric = '{monitor.MESSAGES}' GROUP BY 1"))
 def latest_by_status(spark, sf_dir):
-    return monitor.latest_sum(monitor.select_series(samples(spark, sf_dir), monitor.MESSAGES), ("status",))
+    return monitor.latest_sum(monitor.select_series(samples(spark, sf_dir, monitor.MESSAGES), monitor.MESSAGES), ("status",))
 
 
 @query(on_samples(f"SELECT tenant_id, sum(value) AS value FROM {_LATEST} WHERE metric = '{monitor.TENANT_MESSAGES}' GROUP BY 1"))
 def latest_by_tenant(spark, sf_dir):
-    return monitor.latest_sum(monitor.select_series(samples(spark, sf_dir), monitor.TENANT_MESSAGES), ("tenant_id",))
+    counters = monitor.select_series(samples(spark, sf_dir, monitor.TENANT_MESSAGES), monitor.TENANT_MESSAGES)
+    return monitor.latest_sum(counters, ("tenant_id",))
 
 
 @query(on_samples(f"""
-SELECT tenant_id, round(sum(value) FILTER (WHERE metric LIKE '%_sum') / sum(value) FILTER (WHERE metric LIKE '%_count')
-  + 0.00000013E0, 6) AS mean_latency
+SELECT tenant_id, sum(CAST(value AS DECIMAL(28,6))) FILTER (WHERE metric LIKE '%_sum')::DOUBLE
+  / sum(value) FILTER (WHERE metric LIKE '%_count') AS mean_latency
 FROM {_LATEST} WHERE metric IN ('{monitor.LATENCY}_sum', '{monitor.LATENCY}_count') GROUP BY 1"""))
 def mean_latency(spark, sf_dir):
-    rows = monitor.mean_latency(samples(spark, sf_dir))
-    return rows.withColumn("mean_latency", F.round(F.col("mean_latency") + 0.00000013, 6))
+    return monitor.mean_latency(samples(spark, sf_dir, f"{monitor.LATENCY}_sum", f"{monitor.LATENCY}_count"))
 
 
 @query(on_samples(f"""
 SELECT pod, sum(value) / 1048576.0E0 AS value FROM {_LATEST}
 WHERE metric = '{monitor.RECORDS}' AND job = 'processing-engine' GROUP BY 1"""))
 def gauge_by_pod(spark, sf_dir):
-    gauges = monitor.select_series(samples(spark, sf_dir), monitor.RECORDS)
+    gauges = monitor.select_series(samples(spark, sf_dir, monitor.RECORDS), monitor.RECORDS)
     return monitor.scaled(monitor.latest_sum(monitor.match_label(gauges, "job", "processing-engine.*"), ("pod",)))
 
 
 @query(on_samples(f"""
 SELECT ts, pod, value FROM samples WHERE metric = '{monitor.TENANT_MESSAGES}' AND tenant_id = 'tenant3'"""))
 def series_selection(spark, sf_dir):
-    series = monitor.select_series(samples(spark, sf_dir), monitor.TENANT_MESSAGES, tenant_id="tenant3")
+    series = samples(spark, sf_dir, monitor.TENANT_MESSAGES)
+    series = monitor.select_series(series, monitor.TENANT_MESSAGES, tenant_id="tenant3")
     return series.select("ts", "pod", "value")
 
 
@@ -149,7 +157,7 @@ def label_values(spark, sf_dir):
 
 @query(on_samples(f"SELECT pod, tenant_id, value FROM {_LATEST} WHERE metric = '{monitor.RECORDS}'"))
 def last_value(spark, sf_dir):
-    last = monitor.latest(monitor.select_series(samples(spark, sf_dir), monitor.RECORDS))
+    last = monitor.latest(monitor.select_series(samples(spark, sf_dir, monitor.RECORDS), monitor.RECORDS))
     return last.select("pod", "tenant_id", "value")
 
 

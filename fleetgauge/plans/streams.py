@@ -15,9 +15,6 @@ from fleetgauge.session import shared_dir
 from fleetgauge.sources import table
 from fleetgauge.streaming import pipeline, state
 
-AVG = data.AVG
-
-
 def _events(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     # A pattern takes a single file and a folder of part files alike; a plain path must be a folder.
@@ -51,9 +48,14 @@ def stream_store(spark, sf_dir):
 
 
 @query(data.on_processed(
-    f"""SELECT tenant_id, device_id, metric, count(*) AS count, round({AVG.format('value')} + 0.00000013E0, 6) AS avg,
-  CAST(min(value) AS DOUBLE) AS min, CAST(max(value) AS DOUBLE) AS max FROM last GROUP BY ALL""",
-    statistics._LONG.replace("FROM stored", "FROM exact"), statistics._LAST.format("tenant_id, device_id"),
+    """SELECT tenant_id, device_id, metric, count, total / count AS avg, min, max, last_seen,
+  unnest(readings) AS reading, generate_subscripts(readings, 1) - 1 AS position
+FROM (SELECT *, list_reduce(list_reverse(readings), (a, x) -> a + x) AS total FROM (
+  SELECT tenant_id, device_id, metric, count(*) AS count, list(CAST(value AS DOUBLE) ORDER BY arrival_seq) AS readings,
+    CAST(min(value) AS DOUBLE) AS min, CAST(max(value) AS DOUBLE) AS max, arg_max(ts, arrival_seq) AS last_seen
+  FROM last GROUP BY tenant_id, device_id, metric))""",
+    statistics._LONG.replace("FROM stored", "FROM exact").replace("arrival_seq,", "arrival_seq, ts,"),
+    statistics._LAST.format("tenant_id, device_id"),
 ))
 def stream_device_state(spark, sf_dir):
     """Per-device windows kept as streaming state, read back from the written changes."""
@@ -70,19 +72,17 @@ def stream_device_state(spark, sf_dir):
     run.awaitTermination()
     parts = state.newest_parts(spark.read.parquet(f"{out}/state"))
     merged = state.merge_device_state(parts)
-    shown = [F.round(F.col("avg") + 0.00000013, 6).alias("avg"), "min", "max"]
-    return merged.select("tenant_id", "device_id", "metric", "count", *shown)
-
+    return merged.select(
+        "tenant_id", "device_id", "metric", "count", "avg", "min", "max", "last_seen",
+        F.posexplode("readings").alias("position", "reading"),
+    ).withColumn("position", F.col("position").cast("bigint"))
 
 
-
-@query(data.on_processed(" UNION ALL ".join(
-    f"""SELECT '{m}' AS metric, count({m}) AS count, CAST(min({m}) AS DOUBLE) AS min, CAST(max({m}) AS DOUBLE) AS max,
-  round({AVG.format(m)} + 0.00000013E0, 6) AS avg FROM exact WHERE outcome IN ('normal', 'anomaly')""" for m in schemas.METRICS)))
+@query(data.on_processed(" UNION ALL ".join(statistics._global(m) for m in schemas.METRICS)))
 def stream_global_stats(spark, sf_dir):
     """Global statistics as a stateful aggregate."""
     out = _folder(spark)
-    running = pipeline.running_global_stats(process.published(_scored(spark, sf_dir)))
+    running = pipeline.running_global_stats(data.exact(process.published(_scored(spark, sf_dir))))
 
     def write(rows, batch_id):
         table.write_batch(rows, f"{out}/stats", batch_id, ("batch_id",))
@@ -93,10 +93,8 @@ def stream_global_stats(spark, sf_dir):
     )
     run.awaitTermination()
     versions = spark.read.parquet(f"{out}/stats")
-    newest = versions.groupBy("metric").agg(F.max_by(F.struct("count", "min", "max", "avg"), "batch_id").alias("s"))
-    return newest.select(
-        "metric", "s.count", "s.min", "s.max", F.round(F.col("s.avg") + 0.00000013, 6).alias("avg")
-    )
+    newest = versions.groupBy("metric").agg(F.max_by(F.struct("count", "sum", "min", "max", "avg"), "batch_id").alias("s"))
+    return data.plain(newest.select("metric", "s.*"))
 
 
 @query(data.on_processed("""

@@ -206,3 +206,19 @@ def test_cleaning_properties(spark, records):
         assert 0.0 <= r.quality_score <= 1.0
         assert r.score in (0.0, 1.0, 2.0)
     assert clean.accepted(df).count() + clean.rejected(df).count() == len(records)
+
+
+def test_contract_reads_the_location(spark):
+    cases = [
+        ('{"device_id":"d","location":{"lat":90.5,"lng":1}}', "lat out of range"),
+        ('{"device_id":"d","location":{"lat":1,"lng":-181}}', "lng out of range"),
+        ('{"device_id":"d","location":{"lat":-90,"lng":180}}', None),
+        ('{"device_id":"d","location":"here"}', None),
+        ('{"device_id":"d","temperature":1001}', "temperature out of range"),
+        ('{"device_id":"d","humidity":100.5}', "humidity out of range"),
+        ('{"device_id":""}', "device_id length"),
+        ('{"device_id":"d"}', None),
+    ]
+    rows = clean.decode_readings(messages(spark, [text for text, _ in cases]))
+    checked = validate.check(rows, "contract").orderBy("arrival_seq").collect()
+    assert [r.reject_reason for r in checked] == [why for _, why in cases]

@@ -46,3 +46,21 @@ def test_latest_skips_nulls_and_scales(spark):
     got = monitor.scaled(monitor.latest_sum(spark.createDataFrame(rows, SAMPLE), ("pod",)))
     assert [tuple(r) for r in got.collect()] == [("p", 1.0)]
     assert monitor.latest(spark.createDataFrame(rows, SAMPLE)).filter(F.col("value").isNull()).count() == 0
+
+
+def test_error_percent_by_label(spark):
+    rows = []
+    for pod, status, total in (("p", "error", 1), ("p", "normal", 3), ("q", "normal", 5)):
+        rows += [(T0 + dt.timedelta(seconds=s), monitor.MESSAGES, None, status, pod, None, float(v)) for s, v in ((0, 0), (30, total))]
+    got = monitor.error_percent(spark.createDataFrame(rows, SAMPLE), by=("pod",)).collect()
+    assert {r.pod: r.error_percent for r in got} == {"p": 25.0, "q": 0.0}
+
+
+def test_only_named_metrics_are_built(spark):
+    rows = [(T0, "t", "normal", 0.2), (T0, "t", "error", 0.4)]
+    done = spark.createDataFrame(rows, "timestamp TIMESTAMP, tenant_id STRING, outcome STRING, latency_seconds DOUBLE")
+    whole = monitor.metric_samples(done)
+    one = monitor.metric_samples(done, metrics=(monitor.MESSAGES,))
+    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, monitor.select_series(whole, monitor.MESSAGES).collect()), key=repr)
+    with pytest.raises(ValueError):
+        monitor.metric_samples(done, metrics=("other",))
