@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm import (decontaminate, line_crf, mixing, quality_rules, sharding, simhash, substring, token_counts,
-                            token_store, toxicity)
+from fleetgauge.llm import (decontaminate, fim, hard_negatives, language_id, line_crf, mixing, quality_rules, sharding, simhash,
+                            substring, token_counts, token_store, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    named = language_id.score(docs.select("doc_id", "text"), language_id.fit(docs, fold(3) != 1))
+    return named.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous", "bits_off")
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), label=hard_negatives.relabelled())
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restored(), 256).alias("restored_sha256"))
+
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -157,9 +173,42 @@ OP5_SQL = f"""
     SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
     FROM documents LEFT JOIN s USING (doc_id)"""
 
+OP12_SQL = f"""
+    WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)) AS q
+               FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+                 list_inner_product(a.q, b.q)::BIGINT AS score
+          FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % {hard_negatives.EVERY} = 0),
+    p AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS nth FROM s WHERE same),
+    n AS (SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score, nth,
+                 row_number() OVER (PARTITION BY p.anchor, p.nth ORDER BY s.score DESC, s.vec_id) AS rank
+          FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND s.score * 100 BETWEEN {hard_negatives.LOW} * p.score AND {hard_negatives.HIGH} * p.score
+          WHERE nth <= {hard_negatives.POSITIVES})
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score, nth::INTEGER AS positive_rank
+    FROM n WHERE rank <= {hard_negatives.NEGATIVES}"""
+
+OP13_SQL = """
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+                      sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    d AS (SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+                 ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+    c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+    p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN len(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(prefix || middle || suffix) AS restored_sha256
+    FROM p"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1, "op2_benchmark_templates": op2, "op3_extendible_shards": op3, "op4_token_store": op4,
     "op5_substring_repeats": op5, "op6_line_crf": op6, "op7_pfair_mix": op7, "op8_toxic_segments": op8,
     "op9_trie_token_counts": op9, "op10_simhash_groups": op10,
+    "op11_output_codes": op11, "op12_hard_negatives": op12, "op13_fill_in_middle": op13,
 }
-ORACLE: dict[str, str] = {"op1_quality_rules": op1_sql(), "op3_extendible_shards": OP3_SQL, "op5_substring_repeats": OP5_SQL}
+ORACLE: dict[str, str] = {"op1_quality_rules": op1_sql(), "op3_extendible_shards": OP3_SQL, "op5_substring_repeats": OP5_SQL,
+                          "op12_hard_negatives": OP12_SQL, "op13_fill_in_middle": OP13_SQL}
