@@ -9,9 +9,18 @@ MAX_BROADCAST_ROWS = 200_000
 SALTS = 16
 
 
-def is_bounded(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Reads at most ``max_rows + 1`` rows of the dimension."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def is_bounded(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether rows and bytes are within the bounds; reads at most ``max_rows + 1`` rows of the dimension."""
+    texts = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, t in dim.dtypes if t in ("string", "binary")]
+    others = [F.coalesce(F.octet_length(F.to_json(F.struct(f"`{c}`"))), F.lit(0)) for c, t in dim.dtypes if "<" in t]
+    width = F.lit(16 * len(dim.columns)).cast("bigint")
+    for part in [*texts, *others]:
+        width = width + part
+    rows, size = dim.select(width.alias("_width")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum("_width")).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def join_dimension(

@@ -70,21 +70,42 @@ def apply_changes(current: DataFrame, changes: DataFrame) -> DataFrame:
     created_at, and the old api_key when the new one is empty, delete removes it; an update of a missing tenant does
     nothing. The latest change of each kind decides, so one aggregate per tenant is enough, however long its history.
     """
-    columns = [c for c in current.columns if c != "id"]
+    return settle(current, change_summary(changes))
+
+
+def change_summary(changes: DataFrame) -> DataFrame:
+    """Per tenant the latest create or delete, the latest update and the latest update that gives a key.
+
+    Summaries of any parts of a feed, in any order and with repeats, merge to that of the whole: see ``merge_summaries``.
+    """
+    columns = [c for c in changes.columns if c not in ("id", "change_seq", "op")]
     row = F.struct(*columns)
     is_update = F.col("op") == "update"
     gives_key = is_update & (F.coalesce("api_key", F.lit("")) != "")
     seq = F.col("change_seq")
-    latest = changes.groupBy("id").agg(
+    return changes.groupBy("id").agg(
         F.max_by(F.struct("change_seq", "op", row.alias("row")), F.when(~is_update, seq)).alias("base"),
         F.max_by(F.struct("change_seq", row.alias("row")), F.when(is_update, seq)).alias("update"),
         F.max_by(F.struct("change_seq", "api_key"), F.when(gives_key, seq)).alias("key"),
     )
-    held = current.select("id", F.lit(True).alias("_held"), row.alias("_old"))
+
+
+def merge_summaries(old: DataFrame, new: DataFrame) -> DataFrame:
+    """One summary per tenant from two tables of summaries."""
+    both = old.unionByName(new.select(*old.columns))
+    kinds = [F.max_by(kind, F.col(f"{kind}.change_seq")).alias(kind) for kind in ("base", "update", "key")]
+    return both.groupBy("id").agg(*kinds)
+
+
+def settle(current: DataFrame, latest: DataFrame) -> DataFrame:
+    """The tenant table after the changes that a summary stands for."""
+    columns = [c for c in current.columns if c != "id"]
+    held = current.select("id", F.lit(True).alias("_held"), F.struct(*columns).alias("_old"))
     both = held.join(latest, "id", "full_outer")
     no_base = F.col("base").isNull()
     since = F.coalesce(F.col("base.change_seq"), F.lit(-(2**63)))
-    start = F.when(no_base, F.col("_old")).when(F.col("base.op") == "create", F.col("base.row"))
+    # Of the rows that exist, those with a base were created by it.
+    start = F.struct(*[F.when(no_base, F.col(f"_old.{c}")).otherwise(F.col(f"base.row.{c}")).alias(c) for c in columns])
     exists = F.when(no_base, F.col("_held").isNotNull()).otherwise(F.col("base.op") == "create")
     updated = F.coalesce(F.col("update.change_seq") > since, F.lit(False))
     rekeyed = F.coalesce(F.col("key.change_seq") > since, F.lit(False))

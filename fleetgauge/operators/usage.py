@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fleetgauge.functions.scoring import mean
 from fleetgauge.operators.lookup import join_dimension
@@ -15,10 +16,12 @@ def daily_usage(df: DataFrame, limits: DataFrame, ts: str = "ts") -> DataFrame:
 
     ``limits``: tenant_id, quota_limit. Tenants without a limit never exceed it.
     """
-    from pyspark.sql.window import Window
-
     day = F.to_date(F.col(ts)).alias("day")
-    daily = df.groupBy("tenant_id", day).agg(F.count(F.lit(1)).alias("daily_usage"))
+    return quota_of_days(df.groupBy("tenant_id", day).agg(F.count(F.lit(1)).alias("daily_usage")), limits)
+
+
+def quota_of_days(daily: DataFrame, limits: DataFrame) -> DataFrame:
+    """``daily_usage`` from counts that are there already: tenant_id, day, daily_usage."""
     # At most 31 rows per tenant and month are left here.
     month = Window.partitionBy("tenant_id", F.trunc("day", "month")).orderBy("day")
     so_far = daily.withColumn(
@@ -34,7 +37,11 @@ def daily_usage(df: DataFrame, limits: DataFrame, ts: str = "ts") -> DataFrame:
 def minute_usage(df: DataFrame, limits: DataFrame, ts: str = "ts", seconds: int = 60) -> DataFrame:
     """Messages per tenant and minute and whether they exceed ``rate_limit``."""
     start = F.window(ts, f"{seconds} seconds")["start"].alias("minute")
-    counts = df.groupBy("tenant_id", start).agg(F.count(F.lit(1)).alias("messages"))
+    return rate_of_minutes(df.groupBy("tenant_id", start).agg(F.count(F.lit(1)).alias("messages")), limits)
+
+
+def rate_of_minutes(counts: DataFrame, limits: DataFrame) -> DataFrame:
+    """``minute_usage`` from counts that are there already: tenant_id, minute, messages."""
     joined = join_dimension(counts, limits.select("tenant_id", "rate_limit"), "tenant_id")
     return joined.select(
         "tenant_id", "minute", "messages",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetgauge.plans import dashboard, ingest, lifecycle, monitoring, statistics, streams  # noqa: F401
+from fleetgauge.plans import dashboard, ingest, lifecycle, monitoring, statistics, stores, streams  # noqa: F401
 from fleetgauge.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

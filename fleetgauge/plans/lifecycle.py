@@ -111,9 +111,14 @@ SELECT s.id, CASE WHEN u.id IS NULL THEN s.name ELSE u.name END AS name, coalesc
   CASE WHEN u.id IS NULL THEN s.retention_days ELSE u.retention_days END AS retention_days
 FROM start s LEFT JOIN upd u ON u.id = s.id LEFT JOIN keyed k ON k.id = s.id""", data.TENANTS, _CHANGES))
 def tenant_changes(spark, sf_dir):
+    return tenants.apply_changes(data.managed_tenants(spark, sf_dir), changes(spark, sf_dir))
+
+
+def changes(spark, sf_dir):
+    """The change feed that ``_CHANGES`` describes."""
     kind = F.col("event_type")
     number = F.col("event_id").cast("string")
-    changes = data.table(spark, sf_dir, "events").select(
+    return data.table(spark, sf_dir, "events").select(
         F.col("event_id").alias("change_seq"),
         F.concat(F.lit("t-"), F.col("user_id").cast("string")).alias("id"),
         F.when(kind == "signup", "create").when(kind == "error", "delete").otherwise("update").alias("op"),
@@ -127,7 +132,6 @@ def tenant_changes(spark, sf_dir):
         F.col("value").alias("sampling_rate"),
         (F.col("event_id") % 30).cast("int").alias("retention_days"),
     )
-    return tenants.apply_changes(data.managed_tenants(spark, sf_dir), changes)
 
 
 _EXPIRED = f"""aged AS (

@@ -7,13 +7,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from fleetgauge import schemas
-from fleetgauge.operators import process
+from fleetgauge.operators import monitor, process, usage
 from fleetgauge.operators.fanout import subscribers_with_default
-from fleetgauge.plans import data, statistics
-from fleetgauge.plans.registry import query
+from fleetgauge.plans import data, lifecycle, monitoring, statistics
+from fleetgauge.plans.registry import ORACLE, query
 from fleetgauge.session import shared_dir
 from fleetgauge.sources import table
-from fleetgauge.streaming import pipeline, state
+from fleetgauge.streaming import feeds, pipeline, state, windows
+
 
 def _events(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
@@ -50,7 +51,7 @@ def stream_store(spark, sf_dir):
 @query(data.on_processed(
     """SELECT tenant_id, device_id, metric, count, total / count AS avg, min, max, last_seen,
   unnest(readings) AS reading, generate_subscripts(readings, 1) - 1 AS position
-FROM (SELECT *, list_reduce(list_reverse(readings), (a, x) -> a + x) AS total FROM (
+FROM (SELECT *, list_reduce(list_reverse(readings), lambda a, x: a + x) AS total FROM (
   SELECT tenant_id, device_id, metric, count(*) AS count, list(CAST(value AS DOUBLE) ORDER BY arrival_seq) AS readings,
     CAST(min(value) AS DOUBLE) AS min, CAST(max(value) AS DOUBLE) AS max, arg_max(ts, arrival_seq) AS last_seen
   FROM last GROUP BY tenant_id, device_id, metric))""",
@@ -122,3 +123,97 @@ def stream_newer_only(spark, sf_dir):
         rows, f"{out}/checkpoint", f"{out}/kept", f"{out}/newest", ts="measured_at", once=True
     ).awaitTermination()
     return spark.read.parquet(f"{out}/kept").select("arrival_seq", "tenant_id", "measured_at")
+
+
+def _fed(spark, rows, part, parts, out, run):
+    """The rows come in several files, chosen by ``part``; the query is started anew for each and goes on where it was."""
+    kept = f"{out}/rows"
+    rows.withColumn("_part", part.cast("int")).write.partitionBy("_part").parquet(kept)
+    for i in range(parts):
+        spark.read.schema(f"{feeds.ddl(rows, rows.columns)}, _part INT").parquet(kept).filter(F.col("_part") == i).drop("_part").write.mode(
+            "append").parquet(f"{out}/live")
+        run(spark.readStream.schema(rows.schema).parquet(f"{out}/live")).awaitTermination()
+
+
+def _thirds(ts):
+    """First, second and last ten days; every 17th row comes one part later than its time says."""
+    day = F.dayofyear(ts)
+    own = F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2)
+    return F.least(own + F.when(F.col("arrival_seq") % 17 == 0, 1).otherwise(0), F.lit(2))
+
+
+def _window_counts(spark, sf_dir, keys, seconds, rows):
+    out = _folder(spark)
+    names = tuple(keys)
+    _fed(spark, rows.select("arrival_seq", "ts", *names), _thirds(F.col("ts")), 3, out, lambda stream: windows.start_window_counts(
+        stream, f"{out}/checkpoint", f"{out}/counts", names, "ts", seconds, 86_400, once=True))
+    return windows.window_counts(spark, f"{out}/counts", keys)
+
+
+@query(ORACLE["rate_limit_minutes"])
+def stream_minute_usage(spark, sf_dir):
+    """Messages per tenant and minute of event time, on a stream with restarts and rows that come days late."""
+    counts = _window_counts(spark, sf_dir, {"tenant_id": "STRING"}, 60, process.published(data.processed(spark, sf_dir)))
+    return usage.rate_of_minutes(counts.withColumnRenamed("window_start", "minute"), lifecycle._limits(spark, sf_dir))
+
+
+@query(ORACLE["daily_quota"])
+def stream_daily_quota(spark, sf_dir):
+    """Daily and monthly usage against the quota, from hourly windows of a stream."""
+    counts = _window_counts(spark, sf_dir, {"tenant_id": "STRING"}, 3600, process.published(data.processed(spark, sf_dir)))
+    daily = counts.groupBy("tenant_id", F.to_date("window_start").alias("day")).agg(F.sum("messages").alias("daily_usage"))
+    return usage.quota_of_days(daily, lifecycle._limits(spark, sf_dir))
+
+
+@query(data.on_processed("""
+SELECT tenant_id, outcome, date_trunc('hour', ts) AS window_start, count(*) AS messages FROM processed GROUP BY ALL"""))
+def stream_outcome_hours(spark, sf_dir):
+    """Messages per tenant, outcome and hour of event time."""
+    return _window_counts(spark, sf_dir, {"tenant_id": "STRING", "outcome": "STRING"}, 3600, data.processed(spark, sf_dir))
+
+
+@query(ORACLE["stream_device_state"])
+def stream_device_windows(spark, sf_dir):
+    """Per-device windows as expiring list and value state, read from the state of the last micro-batch."""
+    out = _folder(spark)
+    rows = state.device_windows(data.readings_of(_events(spark, sf_dir)), idle_ms=7 * 86_400_000)
+    state.start_windows(rows, f"{out}/checkpoint", once=True).awaitTermination()
+    merged = state.merge_device_state(state.device_windows_now(spark, f"{out}/checkpoint"))
+    return merged.select(
+        "tenant_id", "device_id", "metric", "count", "avg", "min", "max", "last_seen",
+        F.posexplode("readings").alias("position", "reading"),
+    ).withColumn("position", F.col("position").cast("bigint"))
+
+
+@query(ORACLE["device_rolling"])
+def stream_device_rolling(spark, sf_dir):
+    """The statistics of its device right after each reading, across micro-batches."""
+    out = _folder(spark)
+    rows = data.stored(spark, sf_dir).select("arrival_seq", "tenant_id", "device_id", "ts", *schemas.METRICS)
+    kept = feeds.rolling_table(spark, f"{out}/state", value="DECIMAL(18,4)")
+    day = F.dayofyear("ts")
+    _fed(spark, rows, F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2), 3, out, lambda stream: feeds.start_device_rolling(
+        stream, f"{out}/checkpoint", kept, f"{out}/rolling", once=True))
+    return data.plain(spark.read.parquet(f"{out}/rolling").drop("batch_id"))
+
+
+@query(ORACLE["tenant_changes"])
+def stream_tenant_changes(spark, sf_dir):
+    """The change feed in three parts, out of order, folded in a keyed table."""
+    out = _folder(spark)
+    kept = feeds.tenant_changes_table(spark, f"{out}/state")
+    _fed(spark, lifecycle.changes(spark, sf_dir), F.pmod(F.xxhash64("change_seq"), F.lit(3)), 3, out, lambda stream: feeds.start_tenant_changes(
+        stream, f"{out}/checkpoint", kept, once=True))
+    return feeds.tenants_now(data.managed_tenants(spark, sf_dir), kept)
+
+
+@query(ORACLE["counter_rate"])
+def stream_counter_rate(spark, sf_dir):
+    """Rates of the message counters over samples that arrive in three parts."""
+    out = _folder(spark)
+    kept = feeds.samples_table(spark, f"{out}/state")
+    rows = monitor.select_series(monitoring.samples(spark, sf_dir, monitor.MESSAGES), monitor.MESSAGES)
+    day = F.dayofyear("ts")
+    _fed(spark, rows, F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2), 3, out, lambda stream: feeds.start_counter_growth(
+        stream, f"{out}/checkpoint", kept, f"{out}/growth", monitoring.RANGE_S, once=True))
+    return feeds.rate(spark, f"{out}/growth", ("status",), monitoring.RANGE_S)

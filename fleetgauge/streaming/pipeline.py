@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,6 +10,8 @@ from fleetgauge.operators import clean, process, stats
 from fleetgauge.operators.fanout import fan_out
 from fleetgauge.operators.ordered import MAX_GROUP_ROWS
 from fleetgauge.operators.recent import newer_only
+from fleetgauge.sources.keyed import KeyedTable, latest_wins
+from fleetgauge.sources.store import Store
 from fleetgauge.sources.table import write_batch
 
 
@@ -58,6 +60,15 @@ def start_pipeline(
     return start(clean_and_process(messages, config, validate), checkpoint, write, once)
 
 
+def start_store(messages: DataFrame, config: DataFrame, checkpoint: str, store: Store, validate: bool = True, once: bool = False) -> StreamingQuery:
+    """Clean, process and append a message stream to a versioned store, each micro-batch once, also after compactions."""
+
+    def append(rows: DataFrame, batch_id: int) -> None:
+        store.append(process.for_store(process.published(rows)), batch_id, "stream")
+
+    return start(clean_and_process(messages, config, validate), checkpoint, append, once)
+
+
 def running_global_stats(processed: DataFrame) -> DataFrame:
     """Global statistics as a stateful aggregate; write it in ``complete`` or ``update`` mode."""
     return stats.global_stats(processed)
@@ -78,35 +89,29 @@ def start_newer_only(
 ) -> StreamingQuery:
     """Keep rows newer than all earlier ones of their group, across micro-batches.
 
-    The newest time per group is one small table per batch; a micro-batch is filtered like a batch, so a busy group
-    is cut in chunks instead of passing through one state.
+    The newest time per group is a keyed table, of which a micro-batch reads and writes the buckets of its groups; the batch
+    itself is filtered like a table, so a busy group is cut in chunks instead of passing through one state.
     """
+    named = [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys]
+    schema = ", ".join([*named, f"newest {rows.schema[ts].dataType.simpleString()}"])
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        table = KeyedTable(batch.sparkSession, newest_path, schema, keys)
+        if table.committed(batch_id):
+            return
         batch = batch.persist()
         try:
-            before = _newest_before(spark, newest_path, batch_id, batch, keys, ts)
+            here = batch.groupBy(*keys).agg(F.max(ts).alias("newest")).filter(F.col("newest").isNotNull())
+            buckets = [r["_bucket"] for r in table.bucketed(here).select("_bucket").distinct().collect()]
+            before = table.read(buckets=buckets)
             fresh = newer_only(batch, keys, seq, ts, max_rows)
             known = before.select(*[F.col(k).alias(f"_known_{k}") for k in keys], F.col("newest").alias("_seen"))
             same = [fresh[k].eqNullSafe(known[f"_known_{k}"]) for k in keys]
             kept = fresh.join(known, same, "left").filter(F.col("_seen").isNull() | (F.col(ts) > F.col("_seen")))
             write_batch(kept.select(*batch.columns), path, batch_id, ("batch_id",))
-            here = batch.groupBy(*keys).agg(F.max(ts).alias("newest"))
-            after = before.unionByName(here).groupBy(*keys).agg(F.max("newest").alias("newest"))
-            write_batch(after, newest_path, batch_id, ("batch_id",))
+            table.upsert(here, batch_id, latest_wins(keys, "newest"))
         finally:
             batch.unpersist()
 
     return start(rows, checkpoint, keep, once)
 
-
-def _newest_before(spark: SparkSession, path: str, batch_id: int, batch: DataFrame, keys, ts: str) -> DataFrame:
-    """Newest time per group after the previous batch; empty before the first one."""
-    empty = batch.groupBy(*keys).agg(F.max(ts).alias("newest")).limit(0)
-    if batch_id == 0:
-        return empty
-    schema = f"{', '.join(f'`{k}` {batch.schema[k].dataType.simpleString()}' for k in keys)}, newest {batch.schema[ts].dataType.simpleString()}"
-    return spark.read.schema(f"{schema}, batch_id BIGINT").parquet(path).filter(
-        F.col("batch_id") == batch_id - 1
-    ).drop("batch_id")

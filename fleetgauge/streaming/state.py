@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from fleetgauge import schemas
 from fleetgauge.operators.stats import by_metric
@@ -110,3 +112,100 @@ def merge_device_state(
         F.reverse(values).alias("readings"),
         "last_seen",
     )
+
+
+def last_readings(n: int, seq: str, idle_ms: int | None) -> StatefulProcessor:
+    """The last ``n`` readings of a part of a device as list state, and the newest arrival as value state.
+
+    Both are forgotten ``idle_ms`` after the part's last change, by the state's own expiry: no timer keeps a run from ending.
+    """
+
+    # Inside a function, so that it travels to the workers whole and they need not have this package.
+    class LastReadings(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            reading = StructType([StructField("seq", LongType()), StructField("value", DoubleType())])
+            arrival = StructType([StructField("last_seq", LongType()), StructField("last_us", LongType())])
+            self.readings = handle.getListState("readings", reading, idle_ms)
+            self.arrival = handle.getValueState("arrival", arrival, idle_ms)
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+            held = list(self.readings.get()) if self.readings.exists() else []
+            seqs, values = np.array([r[0] for r in held], "int64"), np.array([r[1] for r in held], "float64")
+            last_seq, last_us = self.arrival.get() if self.arrival.exists() else (None, None)
+            for batch in rows:
+                own = batch[seq].to_numpy("int64")
+                seqs, values = np.concatenate([seqs, own]), np.concatenate([values, batch["value"].to_numpy("float64")])
+                seqs, first = np.unique(seqs, return_index=True)
+                seqs, values = seqs[-n:], values[first][-n:]
+                newest = int(own.argmax())
+                if last_seq is None or int(own[newest]) > last_seq:
+                    last_seq, last_us = int(own[newest]), int(pd.Timestamp(batch["ts"].iloc[newest]).value // 1000)
+            self.readings.put(list(zip(seqs.tolist(), values.tolist(), strict=True)))
+            self.arrival.update((last_seq, last_us))
+            yield pd.DataFrame({"parts_changed": [1]})
+
+        def close(self) -> None:
+            pass
+
+    return LastReadings()
+
+
+def device_windows(
+    readings: DataFrame, keys: tuple[str, ...] = ("tenant_id", "device_id"), seq: str = "arrival_seq", ts: str = "ts",
+    n: int = schemas.DEVICE_WINDOW, parts: int = STATE_PARTS, idle_ms: int | None = None,
+) -> DataFrame:
+    """Per-device windows of a stream as expiring state; one row per changed part comes out.
+
+    Parts are as in ``device_state``. The windows are read from the checkpoint with ``device_windows_now``: only their newest
+    version is kept there, so reading them costs what they hold and not how often they changed. Start it with ``start_windows``.
+    """
+    long = by_metric(readings, [*keys, seq, ts]).withColumn("part", F.pmod(F.xxhash64(seq), F.lit(parts)).cast("int"))
+    seen = F.coalesce(F.col(ts).cast("timestamp"), F.current_timestamp())
+    long = long.select(*keys, "metric", "part", seq, seen.alias("ts"), "value")
+    return long.groupBy(*keys, "metric", "part").transformWithStateInPandas(
+        last_readings(n, seq, idle_ms), "parts_changed INT", "update", "ProcessingTime"
+    )
+
+
+#: Expiring state needs RocksDB; and as expiry is a kind of timer, batches without data would never end.
+WINDOW_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
+def start_windows(windows: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Run ``device_windows``; ``once`` stops after what is there now. The settings it needs hold for this query only."""
+    spark = windows.sparkSession
+    before = {key: spark.conf.get(key, None) for key in WINDOW_CONF}
+    for key, value in WINDOW_CONF.items():
+        spark.conf.set(key, value)
+    try:
+        writer = windows.writeStream.outputMode("update").option("checkpointLocation", checkpoint).format("noop")
+        return (writer.trigger(availableNow=True) if once else writer).start()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def device_windows_now(spark: SparkSession, checkpoint: str, keys: tuple[str, ...] = ("tenant_id", "device_id")) -> DataFrame:
+    """The parts of all device windows as the last finished micro-batch left them, for ``merge_device_state``."""
+    group = [*keys, "metric", "part"]
+
+    def variable(name: str, column: str) -> tuple[DataFrame, Column]:
+        """The state variable and its value; one that expires is kept as (value, expiry)."""
+        kept = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+        if set(kept.schema[column].dataType.fieldNames()) != {"value", "ttlExpirationMs"}:
+            return kept, F.col(column)
+        alive = F.col(column)["ttlExpirationMs"] > F.unix_millis(F.current_timestamp())
+        return kept.filter(alive), F.col(column)["value"]
+
+    lists, item = variable("readings", "list_element")
+    values, last = variable("arrival", "value")
+    rows = lists.select(*[F.col("key")[k].alias(k) for k in group], item["seq"].alias("seq"), item["value"].alias("value"))
+    windows = rows.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("seq", "value"))).alias("_r"))
+    arrivals = values.select(
+        *[F.col("key")[k].alias(f"_{k}") for k in group], last["last_seq"].alias("last_seq"), F.timestamp_micros(last["last_us"]).alias("last_seen")
+    )
+    same = [windows[k].eqNullSafe(arrivals[f"_{k}"]) for k in group]
+    return windows.join(arrivals, same).select(*group, F.col("_r")["seq"].alias("seqs"), F.col("_r")["value"].alias("readings"), "last_seq", "last_seen")
