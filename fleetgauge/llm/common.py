@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy pass works on; a longer text is a pass of its own.
@@ -22,6 +23,8 @@ LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 
 _ODD = 0x9E3779B97F4A7C15
+#: Words of more bytes than this are hashed one by one: sums of powers modulo 2**64 can be made to agree for long words.
+LONG_WORD = 128
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -113,7 +116,10 @@ class Words:
         sums[0] = 0
         np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
         raw = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-        return mix64(raw + (self.ends - self.starts).astype(np.uint64) * np.uint64(_ODD))
+        found = mix64(raw + (self.ends - self.starts).astype(np.uint64) * np.uint64(_ODD))
+        for i in np.flatnonzero(self.ends - self.starts > LONG_WORD):
+            found[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i] : self.ends[i]].tobytes())
+        return found
 
     def doc(self) -> np.ndarray:
         """Number of the text of each word."""

@@ -7,9 +7,9 @@ the coded block), `table` (the counts) and nothing else to look up: start is the
 
 Reading decodes each block on its own, so it is as parallel as there are blocks; checksums are verified.
 
-Words (runs without ASCII white space) are encoded once per Python worker and looked up after that: neither the normalizer nor
-the splitter of such a tokenizer looks across white space. Plain words skip both by a rule that gives the same pieces; the
-pieces themselves are always encoded by the library. The stores of words are emptied when full, which costs time only.
+Words (runs without ASCII white space) are encoded once per Python worker and looked up by their hash after that: neither the
+normalizer nor the splitter of such a tokenizer looks across white space. Plain words are lowered and cut in pieces for a whole
+batch at once, by a rule that gives the same pieces; the pieces themselves are always encoded by the library.
 
 Defined results: a null text is an empty one, with END alone; equal ids follow each other in the order of their texts, null ids
 come first; a text longer than a block is a block of its own; an empty table gives an empty store; other columns are ignored.
@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from fleetgauge.llm import rans
-from fleetgauge.llm.common import map_arrow, pieces, shared_dir, spans, split_words, stored
+from fleetgauge.llm.common import LOWER, Words, map_arrow, pieces, shared_dir, split_words, stored
 
 END = 1
 BLOCK_TOKENS = 1 << 20
-MAX_WORDS = 500_000
+MAX_WORDS = 2_000_000
 #: Words of these characters are lowered and split by PARTS; PARTS is the tokenizer's own pattern for lowered text.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -49,8 +49,57 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+#: Classes of bytes in lowered plain text: each digit is a piece, as is each run of letters or of other bytes.
+_LETTER, _DIGIT, _OTHER, _SLOW = range(4)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[*range(97, 123), *range(128, 256)]] = _LETTER
+_CLASS[48:58] = _DIGIT
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[33:127] = True
+#: Hashes of slow words are told from those of pieces by this.
+_TAG = np.uint64(0x5851F42D4C957F2D)
+
+
+def plain_units(words: Words) -> tuple[Words, np.ndarray]:
+    """Pieces of the plain words, lowered, and whole other words, in text order; and which units are such words.
+
+    Plain are words of visible ASCII and the Latin letters that UTF-8 writes with the lead byte C3, without an apostrophe, which may
+    begin a contraction, and without the beginning of a special token.
+    """
+    raw = words.data
+    before, after = np.zeros_like(raw), np.zeros_like(raw)
+    before[1:], after[:-1] = raw[:-1], raw[1:]
+    second = (before == 0xC3) & (raw >= 0x80) & (raw <= 0xBF)
+    latin = second & (raw != 0x97) & (raw != 0xB7)
+    lead = (raw == 0xC3) & (after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)
+    odd = ~(_VISIBLE[raw] | latin | lead) | (raw == 0x27) | ((raw == 0x3C) & (after == 0x7C))
+    total = np.concatenate([[0], np.cumsum(odd, dtype=np.int32)])
+    slow = total[words.ends] > total[words.starts]
+    low = LOWER[raw]
+    low[latin & (raw < 0x9F)] += 0x20
+    kind = _CLASS[low]
+    where = np.zeros(len(raw) + 1, np.int8)
+    where[words.starts[slow]] += 1
+    where[words.ends[slow]] -= 1
+    in_slow = np.cumsum(where[:-1], dtype=np.int8).astype(bool)
+    low[in_slow], kind[in_slow] = raw[in_slow], _SLOW
+    inside = np.zeros(len(raw) + 1, np.int8)
+    inside[words.starts] += 1
+    inside[words.ends] -= 1
+    begins = np.zeros(len(raw), bool)
+    begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    begins &= np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+    begins[words.starts] = True
+    starts = np.flatnonzero(begins)
+    # A unit ends where the next one of its word begins, or with the word.
+    ends = np.append(starts[1:], len(raw))
+    word = np.searchsorted(words.starts, starts, "right") - 1
+    ends = np.minimum(ends, words.ends[word])
+    return Words(low, words.bounds, starts, ends, np.searchsorted(starts, words.bounds)), slow[word]
+
+
 class Encoder:
-    """Ids of words, as bytes of little-endian numbers of `width` bytes."""
+    """Ids of texts, as little-endian numbers of `type`; what was encoded before is looked up by its hash."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,51 +108,72 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), END + 1)
         self.type = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
         self.letters = byte_letters()
         # The short way holds only for a tokenizer whose splitter has this very pattern.
         self.plain = PARTS_PATTERN in str(self.tokenizer.pre_tokenizer).replace("\\\\", "\\") and "Lowercase" in str(self.tokenizer.normalizer)
-
-    def part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            named = part if part.isascii() else "".join(self.letters[b] for b in part.encode())
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(named)], self.type).tobytes()
-            if len(self.parts) >= MAX_WORDS:
-                self.parts.clear()
-            self.parts[part] = ids
-        return ids
-
-    def word(self, word: bytes) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            text = word.decode()
-            if self.plain and PLAIN.fullmatch(text) and "<|" not in text:
-                ids = b"".join(map(self.part, PARTS.findall(text.lower())))
-            else:
-                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
-            if len(self.words) >= MAX_WORDS:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
+        self.forget()
+
+    def forget(self) -> None:
+        """Known units: sorted hashes, and where their ids are in the pool."""
+        self.keys, self.place, self.count = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool = np.empty(0, self.type)
+
+    def piece(self, piece: bytes) -> list[int]:
+        """Ids of a lowered piece."""
+        named = piece.decode() if piece.isascii() else "".join(self.letters[b] for b in piece)
+        return [t.id for t in self.tokenizer.model.tokenize(named)]
+
+    def word(self, word: bytes) -> list[int]:
+        text = word.decode()
+        if self.plain and PLAIN.fullmatch(text) and "<|" not in text:
+            return [i for p in PARTS.findall(text.lower()) for i in self.piece(p.encode())]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def learn(self, keys: np.ndarray, coded: list[list[int]]) -> None:
+        """Add units that are not known; when there are too many, all others are forgotten, which costs time only."""
+        if len(self.keys) + len(keys) > MAX_WORDS:
+            self.forget()
+        count = np.fromiter(map(len, coded), np.int64, len(coded))
+        place = len(self.pool) + np.cumsum(count) - count
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, at, keys[order])
+        self.place, self.count = np.insert(self.place, at, place[order]), np.insert(self.count, at, count[order])
+        self.pool = np.concatenate([self.pool, np.fromiter((i for ids in coded for i in ids), self.type, int(count.sum()))])
+
+    def known(self, keys: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with END, and where each text's begin and end."""
-        words = split_words(texts)
-        codes, keys = pd.factorize(words.hashes())
-        first = np.empty(len(keys), np.int64)
-        first[codes[::-1]] = np.arange(len(codes))[::-1]
-        data = words.data.tobytes()
-        coded = [self.word(data[a:b]) for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
-        pool = np.frombuffer(b"".join(coded), self.type)
-        size = np.fromiter(map(len, coded), np.int64, len(coded)) // self.type.itemsize
-        place = np.cumsum(size) - size
-        n = size[codes]
+        units = split_words(texts)
+        slow = np.ones(len(units.starts), bool)
+        if self.plain:
+            units, slow = plain_units(units)
+        hashes = units.hashes()
+        hashes[slow] ^= _TAG
+        codes, keys = pd.factorize(hashes)
+        new = np.flatnonzero(~self.known(keys))
+        if len(new) and len(self.keys) + len(new) > MAX_WORDS:
+            self.forget()
+            new = np.arange(len(keys))
+        if len(new):
+            first = np.empty(len(keys), np.int64)
+            first[codes[::-1]] = np.arange(len(codes))[::-1]
+            own, data = first[new], units.data.tobytes()
+            self.learn(keys[new], [
+                self.word(data[a:b]) if whole else self.piece(data[a:b])
+                for a, b, whole in zip(units.starts[own].tolist(), units.ends[own].tolist(), slow[own].tolist(), strict=True)
+            ])
+        at = np.searchsorted(self.keys, keys)
+        n = self.count[at][codes] if len(keys) else np.empty(0, np.int64)
         total = np.concatenate([[0], np.cumsum(n)])
-        bounds = total[words.first] + np.arange(len(words.first))
+        bounds = total[units.first] + np.arange(len(units.first))
         out = np.full(bounds[-1], END, self.type)
-        out[spans(n) + np.repeat(total[:-1] + words.doc(), n)] = pool[spans(n) + np.repeat(place[codes], n)]
+        if len(keys):
+            place = np.arange(total[-1])
+            out[place + np.repeat(units.doc(), n)] = self.pool[place + np.repeat(self.place[at][codes] - total[:-1], n)]
         return out, bounds
 
 

@@ -75,7 +75,8 @@ def test_empty_tables(spark, empty):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     want = con.sql(queries.ORACLE[name])
     order = [want.columns.index(c) for c in got.columns]
