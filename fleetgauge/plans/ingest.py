@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fleetgauge import schemas
-from fleetgauge.functions import scoring, timestamps
+from fleetgauge.functions import documents, scoring, timestamps
 from fleetgauge.operators import clean, process, quality, validate
 from fleetgauge.plans import data
 from fleetgauge.plans.registry import query
+from fleetgauge.session import shared_dir
+from fleetgauge.sources import messages
 
 
 @query(data.on_readings("""
@@ -243,3 +247,19 @@ SELECT arrival_seq, round(quality_score, 6) AS quality_score, quality_score < 0.
 def low_quality(spark, sf_dir):
     rows = quality.below_quality(data.cleaned(spark, sf_dir).filter("is_json"), 0.75)
     return rows.select("arrival_seq", F.round("quality_score", 6).alias("quality_score"), "too_low")
+
+
+@query(data.on_clean("SELECT arrival_seq, json_valid(value) AS is_valid FROM raw"))
+def json_validity(spark, sf_dir):
+    return data.raw_messages(spark, sf_dir).select("arrival_seq", documents.is_valid("value").alias("is_valid"))
+
+
+@query(data.on_clean("""
+SELECT device_id, sensor_id, temperature, humidity, reason AS reject_reason, count(*) AS messages FROM clean GROUP BY ALL"""))
+def landed_messages(spark, sf_dir):
+    """Readings landed as lines of text files, read back and cleaned; lines have no number of their own."""
+    landing = f"{shared_dir(spark)}/fleetgauge-{uuid.uuid4().hex}"
+    data.raw_messages(spark, sf_dir).select("value").write.text(landing)
+    cleaned = clean.clean_messages(messages.read_landing(spark, landing))
+    columns = ["device_id", "sensor_id", "temperature", "humidity", "reject_reason"]
+    return cleaned.groupBy(*columns).agg(F.count(F.lit(1)).alias("messages"))

@@ -47,10 +47,13 @@ def read_envelopes(
 
 def read_topic(
     spark: SparkSession, servers: str, topic: str = RAW_TOPIC, streaming: bool = True,
-    partitions: int = TOPIC_PARTITIONS, **options: str,
+    partitions: int = TOPIC_PARTITIONS, connector: str = "kafka", **options: str,
 ) -> DataFrame:
-    """A Kafka topic from its oldest offset; where to continue is kept in the query's checkpoint."""
-    reader = (spark.readStream if streaming else spark.read).format("kafka").options(
+    """A Kafka topic from its oldest offset; where to continue is kept in the query's checkpoint.
+
+    ``connector`` names the format; one with the same columns and options can stand in for Kafka.
+    """
+    reader = (spark.readStream if streaming else spark.read).format(connector).options(
         **{"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", **options}
     )
     return reader.load().select(
@@ -64,10 +67,14 @@ def to_messages(df: DataFrame, value: Column, key: str = "device_id") -> DataFra
     return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
 
 
-def write_topic(messages: DataFrame, servers: str, topic: str, checkpoint: str | None = None, **options: str):
+def write_topic(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str | None = None, connector: str = "kafka", once: bool = False,
+    **options: str,
+):
     """Append to a Kafka topic: a started query for a stream, None for a batch."""
     settings = {"kafka.bootstrap.servers": servers, "topic": topic, **options}
     if not messages.isStreaming:
-        messages.write.format("kafka").options(**settings).save()
+        messages.write.format(connector).mode("append").options(**settings).save()
         return None
-    return messages.writeStream.format("kafka").options(**settings).option("checkpointLocation", checkpoint).start()
+    writer = messages.writeStream.format(connector).options(**settings).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
