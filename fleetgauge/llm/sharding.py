@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import cut, fresh
+from fleetgauge.llm.common import cut, fresh, stored
 
 KEY_BITS = 60
 LIMIT_BYTES = 1 << 20
@@ -56,7 +56,7 @@ def buckets(rows: DataFrame, depth: int, limit: int) -> DataFrame:
 
 
 def paged(rows: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Rows of heavy keys with their page; rows are numbered first within parts, so that no key meets in one task."""
+    """Rows of heavy keys with shard, depth, shard_bytes, shard_rows; rows are numbered first within parts, so that no key meets in one task."""
     parts = rows.join(heavy, "key").withColumn("part", F.expr("shiftright(row, 20)"))
     sizes = parts.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
     earlier = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,15 +66,14 @@ def paged(rows: DataFrame, heavy: DataFrame) -> DataFrame:
     per_page = page.groupBy("key", "page").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_rows"))
     name = F.concat(F.lower(F.lpad(F.hex("key"), KEY_BITS // 4, "0")), F.lit("#"), F.col("page").cast("string"))
     return page.join(per_page, ["key", "page"]).select(
-        "doc_id", "n_bytes", name.alias("shard"), F.lit(KEY_BITS).alias("depth"), "shard_bytes", "shard_rows")
+        *rows.columns, name.alias("shard"), F.lit(KEY_BITS).alias("depth"), "shard_bytes", "shard_rows")
 
 
-def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
-    """doc_id, n_bytes, shard (its leading bits, or key#page), depth, shard_bytes, shard_rows for every row."""
-    rows = cut(docs.select("doc_id", key().alias("key"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")))
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    heavy = cut(heavy_keys(rows, limit))
-    light = rows.join(heavy, "key", "left_anti")
+def directory(light: DataFrame, limit: int) -> tuple[DataFrame, int]:
+    """The directory over rows without heavy keys: entry, shard, depth, shard_bytes, shard_rows; and the bits of an entry.
+
+    It has 2**bits entries, bits being the depth of the deepest bucket: about log2(bytes / limit) and a few more, as keys are hashes.
+    """
     total = light.agg(F.sum("n_bytes")).first()[0] or 0
     depth = max(1, math.ceil(math.log2(max(total, 1) / limit)) + 3)
     found = cut(buckets(light, depth, limit))
@@ -84,16 +83,45 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
     deepest = found.agg(F.max("depth")).first()[0] or 0
     shard = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.expr("lpad(bin(prefix), depth, '0')"))
     first, last = (f"shiftleft(prefix{plus}, {deepest} - depth)" for plus in ("", " + 1"))
-    directory = found.select(
+    return found.select(
         F.explode(F.expr(f"sequence({first}, {last} - 1)")).alias("entry"),
-        shard.alias("shard"), "depth", F.col("bytes").alias("shard_bytes"), F.col("n").alias("shard_rows"))
-    held = light.withColumn("entry", prefix(deepest)).join(directory, "entry").select(
-        "doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_rows")
-    return held if heavy.isEmpty() else held.unionByName(paged(rows, heavy))
+        shard.alias("shard"), "depth", F.col("bytes").alias("shard_bytes"), F.col("n").alias("shard_rows")), deepest
+
 
+def n_bytes() -> Column:
+    return F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
 
-def sharded(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
-    """The documents with a further column shard. Rows of one id all get its first shard, as only the id tells them apart."""
-    shard, by = fresh(docs, "shard", "shard_of_id")
-    ids = assign_shards(docs, limit).groupBy(F.col("doc_id").alias(by)).agg(F.min("shard").alias(shard))
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(by))).drop(by)
+
+def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
+    """doc_id, n_bytes, shard (its leading bits, or key#page), depth, shard_bytes, shard_rows for every row."""
+    rows = cut(docs.select("doc_id", key().alias("key"), n_bytes().alias("n_bytes")))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    heavy = cut(heavy_keys(rows, limit))
+    light = rows.join(heavy, "key", "left_anti")
+    entries, bits = directory(light, limit)
+    out = ["doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_rows"]
+    held = light.withColumn("entry", prefix(bits)).join(entries, "entry").select(*out)
+    return held if heavy.isEmpty() else held.unionByName(paged(rows, heavy).select(*out))
+
+
+def sharded(docs: DataFrame, limit: int = LIMIT_BYTES, order: list[str] | None = None) -> DataFrame:
+    """The documents with a further column shard; no shard has more bytes than the limit, but for single longer texts.
+
+    With ``order`` (columns) the rows of a shard are together in one partition and in that order, so that a written table has each
+    shard in one stretch of one file. Rows of heavy keys are written to the shared folder first, as their pages need row numbers.
+    """
+    shard, mark = fresh(docs, "shard", "shard_key")
+    rows = cut(docs.select(key().alias("key"), n_bytes().alias("n_bytes")))
+    heavy = cut(heavy_keys(rows, limit))
+    entries, bits = directory(rows.join(heavy, "key", "left_anti"), limit)
+    named = entries.select(F.col("entry").alias("_entry"), F.col("shard").alias("_shard"))
+    keyed, some = docs.withColumn(mark, key()), not heavy.isEmpty()
+    light = keyed.join(heavy.select(F.col("key").alias("_key")), F.col(mark) == F.col("_key"), "left_anti") if some else keyed
+    held = light.join(named, F.shiftright(mark, KEY_BITS - bits) == F.col("_entry")).select(*docs.columns, F.col("_shard").alias(shard))
+    if some:
+        own = keyed.join(heavy.select(F.col("key").alias("_key")), F.col(mark) == F.col("_key"), "left_semi")
+        own = stored(own.withColumn("_row", F.monotonically_increasing_id()))
+        numbered = own.select(F.col(mark).alias("key"), F.col("_row").alias("row"), n_bytes().alias("n_bytes"))
+        pages = paged(numbered, heavy).select(F.col("row").alias("_number"), F.col("shard").alias("_shard"))
+        held = held.unionByName(own.join(pages, F.col("_row") == F.col("_number")).select(*docs.columns, F.col("_shard").alias(shard)))
+    return held if order is None else held.repartition(shard).sortWithinPartitions(shard, *order)

@@ -6,12 +6,14 @@ import hashlib
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fleetgauge.llm import (decontaminate, line_crf, mixing, quality_rules, queries, rans, sharding, simhash, substring,
@@ -106,32 +108,94 @@ def test_shards_fit_and_split_only_when_needed(spark, odd):
             assert not name or sum(r.n_bytes for r in parent) > limit
 
 
+def test_rows_of_one_id_get_their_own_shards(spark):
+    docs = spark.createDataFrame([(1, c * 900) for c in "abc"] + [(1, "d" * 900)] * 3 + [(2, "e" * 5000), (3, None)], "doc_id long, text string")
+    got = sharding.sharded(docs.repartition(3), 1000).collect()
+    sizes = {}
+    for r in got:
+        sizes[r.shard] = sizes.get(r.shard, 0) + len(r.text or "")
+    assert len(got) == 8 and sorted(sizes.values())[-1] == 5000 and sorted(sizes.values())[-2] <= 1000
+
+
+def test_shards_keep_the_mixed_order(spark, odd, tmp_path):
+    docs = odd.withColumn("text", F.substring("text", 1, 400)).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    mixing.mixed(docs, block_bytes=300).write.parquet(str(tmp_path / "mixed"))
+    placed, order = mixing.with_row_order(spark.read.parquet(str(tmp_path / "mixed")))
+    place = {r.doc_id: tuple(r[c] for c in order) for r in placed.collect()}
+    sharding.sharded(placed, 2000, order).drop(*order).write.parquet(str(tmp_path / "shards"))
+    written = spark.read.parquet(str(tmp_path / "shards")).select("doc_id", "shard_", "_metadata.file_name", "_metadata.row_index").collect()
+    shards = {}
+    for r in sorted(written, key=lambda r: (r.file_name, r.row_index)):
+        shards.setdefault(r["shard_"], []).append(r)
+    assert len(shards) > 5 and sum(map(len, shards.values())) == len(place)
+    for own in shards.values():
+        assert len({r.file_name for r in own}) == 1 and own[-1].row_index - own[0].row_index == len(own) - 1
+        assert [place[r.doc_id] for r in own] == sorted(place[r.doc_id] for r in own)
+
+
 def test_equal_rows_beyond_the_limit_go_to_pages(spark):
     rows = sharding.assign_shards(spark.createDataFrame([(1, "x" * 40)] * 50, "doc_id long, text string").repartition(5), 100).collect()
     assert len(rows) == 50 and len({r.shard for r in rows}) == 25 and all(r.shard_bytes == 80 for r in rows)
 
 
-def test_pfair_windows_and_lag():
-    share = mixing.quotas([5.0, 3.0, 1.0, 0.5], 100)
-    slots = mixing.earliest_deadline(share)
-    assert sorted(s for own in slots for s in own) == list(range(sum(share)))
-    for q, own in zip(share, slots, strict=True):
-        for j, slot in enumerate(own):
-            assert j * sum(share) // q <= slot < -(-(j + 1) * sum(share) // q)
-        done = np.cumsum(np.isin(np.arange(sum(share)), own))
-        assert np.abs(done - q * np.arange(1, sum(share) + 1) / sum(share)).max() < 1
+@pytest.mark.parametrize("seed", range(12))
+def test_pfair_lag_over_the_whole_run(seed):
+    """Against the ideal mix in fractions, slot by slot, over thousands of slots and while sources run out."""
+    rng = random.Random(seed)
+    count = rng.choice([1, 2, 3, 8, 30])
+    names = [f"s{i:02d}" for i in range(count)]
+    weights = {s: rng.choice([1.0, 0.5, 1 / 3, 1e-3, rng.random() + 1e-6, 7.25]) for s in names}
+    blocks = {s: rng.randint(1, rng.choice([3, 40, 900])) for s in names}
+    plan = mixing.schedule(blocks, weights)
+    assert sorted(plan["slot"]) == list(range(sum(blocks.values())))
+    assert ((plan["release"] <= plan["slot"]) & (plan["slot"] < plan["deadline"])).all()
+    whole = dict(zip(names, map(int, mixing.whole_weights([weights[s] for s in names])), strict=True))
+    ideal, had = dict.fromkeys(names, Fraction(0)), dict.fromkeys(names, 0)
+    for r in plan.sort_values("slot").itertuples():
+        had[r[1]] += 1
+        left = Fraction(1)
+        while left:
+            rate = sum(whole[s] for s in names if ideal[s] < blocks[s])
+            step = min([left, *((blocks[s] - ideal[s]) * rate / whole[s] for s in names if ideal[s] < blocks[s])])
+            ideal = {s: ideal[s] + (step * whole[s] / rate if ideal[s] < blocks[s] else 0) for s in names}
+            left -= step
+        assert all(abs(had[s] - ideal[s]) < 1 for s in names)
+
+
+def test_weights_hold_over_many_thousand_slots():
+    weights = dict(zip("abcdefgh", [0.31, 0.23, 0.17, 0.11, 0.07, 0.05, 0.035, 0.025], strict=True))
+    plan = mixing.schedule({s: int(w * 200_000) for s, w in weights.items()}, weights)
+    for s, w in weights.items():
+        own = np.sort(plan.loc[plan["class"] == s, "slot"].to_numpy())
+        had = np.searchsorted(own, np.arange(1, len(plan) + 1))
+        assert np.abs(had - w * np.arange(1, len(plan) + 1)).max() < 1.001
 
 
 def test_mix_places_every_block_once(spark, odd):
-    got = mixing.mix(odd, block_bytes=300, period=20).collect()
+    got = mixing.mix(odd, block_bytes=300).collect()
     owner = {}
     for r in got:
         assert r.release <= r.slot < r.deadline
         assert owner.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block)
-    weighted = mixing.mix(odd, weights={"s0": 0.6, "s1": 0.3, "s2": 0.1}, block_bytes=300, max_sources=2)
+    few = mixing.mix(odd, block_bytes=1, max_slots=50).collect()
+    assert len(few) == len(got) and max(r.slot for r in few) < 50
+    weighted = mixing.mix(odd, weights={"s0": 0.6, "s1": 0.3, "s2": 0.1, "absent": 0.9, None: 0.2}, block_bytes=300)
     assert weighted.count() == odd.count()
 
 
+def test_weights_of_pooled_sources_add_up(spark):
+    docs = spark.createDataFrame([(i, "x" * 10, f"s{i % 5}") for i in range(500)], "doc_id long, text string, source string")
+    got = mixing.mix(docs, {"s0": 0.5, "s1": 0.2, "s2": 0.1, "s3": 0.1, "s4": 0.1}, block_bytes=10, max_sources=2).where("slot < 50").collect()
+    seen = {s: sum(r.source == s for r in got) for s in ("s0", "s1")}
+    assert abs(seen["s0"] - 25) <= 1 and abs(seen["s1"] - 10) <= 1 and len(got) == 50
+
+
+def test_repeated_ids_are_spread(spark):
+    docs = spark.createDataFrame([(1, "x" * 10, "s")] * 2000 + [(None, "y", None)] * 500, "doc_id long, text string, source string")
+    got = mixing.mix(docs.repartition(4), block_bytes=100).collect()
+    assert len(got) == 2500 and len({(r.source, r.place) for r in got}) == 2500
+
+
 def repeats(rows, length):
     seen, words = {}, [(d, WORD.findall(t or "")) for d, t in rows]
     for d, w in words:
