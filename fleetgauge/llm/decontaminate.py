@@ -2,35 +2,35 @@
 
 1. Canonical form. Texts become tokens: numbers, units of measure and names (capitals inside a sentence) turn into typed
    placeholders that remember their value, all other words are lowered. Marks between words do not count.
-2. Hash join. Every window of `window` tokens of a document is looked up among the windows of the items (a shorter item is
-   one window). The benchmark is a stated query set: it is sent to the tasks in blocks of `BLOCK_BYTES`, each block being one
-   pass over the documents, so its size is bounded in memory, not in rows. Windows of placeholders mostly are no evidence.
+2. Hash join. Every window of `window` tokens of a document is joined with the windows of the items (a shorter item is one window) on
+   the hash of its template; a window that is not mostly words, and an item of less than `LEAST` tokens, on the hash of its
+   values, so these are found word by word only. Where the benchmark has up to `MAX_KEYS` windows (8 bytes each) their
+   hashes are sent to the tasks, which then give out only the windows that will meet; beyond that the join alone decides.
 3. Slot check. Windows of one item at one offset form an alignment. Its placeholders must map one to one: equal values of the
    item to equal values of the document, different ones to different ones. Alignments that fail are dropped.
 4. A document holds an item if consistent alignments cover `coverage` of its tokens; it is `verbatim` if no value changed.
 
-Defined results: null and empty texts match nothing; items with less than `LEAST` tokens, or without a window that is mostly
-words, match nothing; repeated rows are each found; equal items are each found; an empty table on either side gives an empty
-result; other columns are ignored.
+Defined results: null and empty texts, and items without a token, match nothing; repeated rows are each found; equal items are
+each found; an empty table on either side gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import LOWER, Words, cut, map_arrow, mix64, pieces, powers, split_words
+from fleetgauge.llm.common import LOWER, Words, fresh, map_arrow, mix64, pieces, powers, ship, spans, split_words, stored
 
 WINDOW = 10
 LEAST = 5
 COVERAGE = 0.5
-BLOCK_BYTES = 2 << 20
+MAX_KEYS = 1 << 20
 #: Units of measure, as words.
 UNITS = ("mm cm m km in ft yd mi mg g kg t lb oz ml l s sec min h hr hrs hour hours minute minutes second seconds day days week "
          "weeks month months year years percent degree degrees dollar dollars euro euros cent cents meter meters metre metres "
@@ -106,115 +106,111 @@ def canonical(texts: pa.Array) -> Tokens:
     return Tokens(template, merged, kind, np.searchsorted(keep, words.first))
 
 
-class Items:
-    """A block of benchmark items with the hashes of their windows."""
-
-    def __init__(self, ids: list, texts: list[str | None], window: int = WINDOW):
-        self.ids, self.tokens, self.window = ids, canonical(pa.array(texts, pa.string())), window
-        sizes = np.diff(self.tokens.first)
-        self.lengths = sorted({min(int(s), window) for s in sizes if s >= LEAST})
-        self.hashes, self.item, self.place = {}, {}, {}
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        for size in self.lengths:
-            at, hashes, plain = self.tokens.runs(size)
-            use = (plain * 2 > size) & ((sizes[doc[at]] == size) if size < window else (sizes[doc[at]] >= window))
-            at, hashes = at[use], hashes[use]
-            order = np.argsort(hashes, kind="stable")
-            self.hashes[size], at = hashes[order], at[order]
-            self.item[size], self.place[size] = doc[at], at - self.tokens.first[doc[at]]
-
-    def matches(self, texts: pa.Array, coverage: float = COVERAGE) -> list[tuple]:
-        """(text, item, first token, tokens covered, tokens of the item, slots, changed slots) of the items found."""
-        docs = canonical(texts)
-        owner = np.repeat(np.arange(len(docs.first) - 1), np.diff(docs.first))
-        aligned: dict[tuple[int, int, int], set[int]] = defaultdict(set)
-        for size in self.lengths:
-            own = self.hashes[size]
-            if not len(own):
-                continue
-            at, hashes, _ = docs.runs(size)
-            maybe = np.zeros(1 << 20, bool)
-            maybe[(own & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-            some = maybe[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)]
-            at, hashes = at[some], hashes[some]
-            low, high = np.searchsorted(own, hashes, "left"), np.searchsorted(own, hashes, "right")
-            for p, a, b in zip(at[high > low], low[high > low], high[high > low], strict=True):
-                d = int(owner[p])
-                for k in range(a, b):
-                    offset = int(p - docs.first[d] - self.place[size][k])
-                    aligned[d, int(self.item[size][k]), offset].update(range(self.place[size][k], self.place[size][k] + size))
-        covered: dict[tuple[int, int], list] = {}
-        for (d, i, offset), places in sorted(aligned.items(), key=lambda x: (x[0][:2], -len(x[1]), x[0][2])):
-            q = np.array(sorted(places))
-            mine, theirs = docs.first[d] + offset + q, self.tokens.first[i] + q
-            slots = self.tokens.kind[theirs] != WORD
-            a, b = self.tokens.value[theirs][slots], docs.value[mine][slots]
-            pairs = len({*zip(a.tolist(), b.tolist(), strict=True)})
-            if pairs != len(set(a.tolist())) or pairs != len(set(b.tolist())):
-                continue
-            held = covered.setdefault((d, i), [int(offset + q[0]), set(), 0, 0])
-            new = places - held[1]
-            fresh = slots & np.isin(q, list(new))
-            held[0], held[2] = min(held[0], int(offset + q[0])), held[2] + int(fresh.sum())
-            held[3] += int((self.tokens.value[theirs] != docs.value[mine])[fresh].sum())
-            held[1] |= places
-        sizes = np.diff(self.tokens.first)
-        return [(d, i, at, len(places), int(sizes[i]), slots, changed) for (d, i), (at, places, slots, changed)
-                in sorted(covered.items()) if len(places) >= coverage * sizes[i]]
-
-
-def blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Iterator[Items]:
-    """The benchmark in blocks of bounded size, one at a time on the driver."""
-    ids, texts, size = [], [], 0
-    for row in cut(benchmark.select("item_id", "text").where("text is not null")).toLocalIterator():
-        ids.append(row[0])
-        texts.append(row[1])
-        size += len(row[1].encode())
-        if size >= block_bytes:
-            yield Items(ids, texts, window)
-            ids, texts, size = [], [], 0
-    if ids:
-        yield Items(ids, texts, window)
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
+def keyed_runs(tokens: Tokens, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and keys of all runs, and which keys are of values: those of runs not mostly of words and of short ones. The others
+    are of templates."""
+    at, templates, plain = tokens.runs(size)
+    exact = (plain * 2 <= size) | (size < LEAST)
+    values = replace(tokens, template=tokens.value).runs(size)[1]
+    return at, np.where(exact, mix64(values ^ np.uint64(_STEP)), templates), exact
+
+
+def windows(column: str, sizes: list[int] | None, window: int, names: list[str], keys: np.ndarray | None = None):
+    """Rows (key, exact, size, the batch's other columns, start, tokens of the text, places and values of the placeholders) of runs.
+
+    Without sizes each text gives its runs of `window` tokens, or one run if it is shorter. Only runs with one of the keys, if given.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, column):
+            tokens = canonical(batch.column(column))
+            counts = np.diff(tokens.first)
+            doc = np.repeat(np.arange(len(counts)), counts)
+            slots = np.concatenate([[0], np.cumsum(tokens.kind != WORD)])
+            where = np.flatnonzero(tokens.kind != WORD)
+            wanted = sizes if sizes is not None else sorted({min(int(c), window) for c in counts if c})
+            for size in wanted:
+                at, key, exact = keyed_runs(tokens, size)
+                if sizes is None:
+                    own = counts[doc[at]]
+                    fits = (own == size) if size < window else (own >= window)
+                    at, key, exact = at[fits], key[fits], exact[fits]
+                if keys is not None and len(keys):
+                    met = keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key
+                    at, key, exact = at[met], key[met], exact[met]
+                a, n = slots[at], slots[at + size] - slots[at]
+                places = where[np.repeat(a, n) + spans(n)]
+                offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                rest = [batch.column(c).take(pa.array(doc[at])) for c in names]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(key.view(np.int64)), pa.array(exact), pa.array(np.full(len(at), size, np.int32)), *rest,
+                    pa.array((at - tokens.first[doc[at]]).astype(np.int32)), pa.array(counts[doc[at]].astype(np.int32)),
+                    pa.ListArray.from_arrays(offsets, pa.array((places - np.repeat(at, n)).astype(np.int32))),
+                    pa.ListArray.from_arrays(offsets, pa.array(tokens.value[places].view(np.int64))),
+                ], ["key", "exact", "size", *names, "start", "tokens", "slots", "values"])
+
+    return run
+
+
+_RUN = "start int, tokens int, slots array<int>, values array<long>"
+
+
+def check(met: pa.Table) -> tuple | None:
+    """First token, tokens covered, tokens of the item, placeholders and changed ones, from the windows in which a text and an item meet."""
+    aligned: dict[int, dict] = defaultdict(dict)
+    columns = [met.column(c).to_pylist() for c in ("exact", "start", "place", "size", "slots", "values", "own")]
+    for exact, start, place, size, slots, theirs, mine in zip(*columns, strict=True):
+        held = aligned[start - place]
+        for k in range(place, place + size):
+            held.setdefault(k, None)
+        # Equal values may be a name in one text and begin a sentence in the other.
+        for k, v, w in zip(slots, theirs, theirs if exact else mine, strict=True):
+            held[place + k] = (v, w)
+    covered, first, slots, changed = set(), None, 0, 0
+    for offset, held in sorted(aligned.items(), key=lambda x: (-len(x[1]), x[0])):
+        pairs = {p for p in held.values() if p}
+        if len(pairs) != len({v for v, _ in pairs}) or len(pairs) != len({w for _, w in pairs}):
+            continue
+        new = [k for k in held if k not in covered]
+        slots += sum(held[k] is not None for k in new)
+        changed += sum(held[k] is not None and held[k][0] != held[k][1] for k in new)
+        covered.update(held)
+        at = offset + min(held)
+        first = at if first is None else min(first, at)
+    return None if first is None else (first, len(covered), met.column("item_tokens")[0].as_py(), slots, changed)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, max_keys: int = MAX_KEYS) -> DataFrame:
     """doc_id, item_id, first_token, covered, item_tokens, slots, changed, kind for every item found in a document."""
+    doc_kind, item_kind = (df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id")))
+    asked = benchmark.select(F.monotonically_increasing_id().alias("item_row"), "item_id", "text")
+    items = stored(map_arrow(asked, windows("text", None, window, ["item_row", "item_id"]), f"key long, exact boolean, size int, item_row long, item_id {item_kind}, {_RUN}"))
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most `window` of them
+    keys = None
+    if items.limit(max_keys + 1).count() <= max_keys:
+        keys = np.sort(items.select("key").distinct().toArrow().column("key").to_numpy().view(np.uint64))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    runs = map_arrow(rows, windows("text", sizes, window, ["row", "doc_id"], keys), f"key long, exact boolean, size int, row long, doc_id {doc_kind}, {_RUN}")
+    own = items.select("key", "exact", "size", "item_row", "item_id", F.col("start").alias("place"), F.col("tokens").alias("item_tokens"), F.col("values").alias("own"))
+    met = runs.join(own, ["key", "exact", "size"]).select("row", "doc_id", "item_row", "item_id", "exact", "start", "place", "size", "slots", "values", "own", "item_tokens")
     names = ["doc_id", "item_id", "first_token", "covered", "item_tokens", "slots", "changed", "kind"]
-    kinds = [docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString(),
-             *["int"] * 5, "string"]
-    schema = ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True))
-
-    def search(items: Items):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in pieces(batches, "text"):
-                found = items.matches(batch.column("text"), coverage)
-                at = pa.array([m[0] for m in found], pa.int64())
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").take(at), pa.array([items.ids[m[1]] for m in found], item_type),
-                    *[pa.array([m[c] for m in found], pa.int32()) for c in range(2, 7)],
-                    pa.array(["reparameterised" if m[6] else "verbatim" for m in found], pa.string())], names)
-        return run
-
-    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
-    out = docs.sparkSession.createDataFrame([], schema)
-    for items in blocks(benchmark, window):
-        out = out.unionByName(map_arrow(docs.select("doc_id", "text"), search(items), schema))
-    return out
-
-
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
-    """The documents that hold no benchmark item; all columns."""
-    at = docs.columns.index("text")
-
-    def clean(items: Items):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for piece in pieces([batch], batch.schema.names[at]):
-                    keep = np.ones(piece.num_rows, bool)
-                    keep[[m[0] for m in items.matches(piece.column(at), coverage)]] = False
-                    yield piece.filter(pa.array(keep))
-        return run
-
-    for items in blocks(benchmark, window):
-        docs = map_arrow(docs, clean(items), docs.schema)
-    return docs
+    schema = f"doc_id {doc_kind}, item_id {item_kind}, " + ", ".join(f"{n} int" for n in names[2:7]) + ", kind string"
+
+    def judge(group: pa.Table) -> pa.Table:
+        found = check(group)
+        some = [found] if found and found[1] >= coverage * found[2] else []
+        numbers = [pa.array([f[i] for f in some], pa.int32()) for i in range(5)]
+        kind = pa.array(["reparameterised" if f[4] else "verbatim" for f in some], pa.string())
+        return pa.Table.from_arrays([*(group.column(c).slice(0, len(some)) for c in ("doc_id", "item_id")), *numbers, kind], names)
+
+    ship(docs.sparkSession)
+    return met.groupBy("row", "item_row").applyInArrow(judge, schema)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, max_keys: int = MAX_KEYS) -> DataFrame:
+    """The documents that hold no benchmark item; all columns. Equal texts hold the same, so texts are told by their digests."""
+    mark = fresh(docs, "digest")[0]
+    texts = docs.where(F.col("text").isNotNull()).select(F.sha2("text", 256).alias("doc_id"), "text")
+    found = stored(contaminated(texts, benchmark, window, coverage, max_keys).select(F.col("doc_id").alias("_found")).distinct())
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return docs.withColumn(mark, digest).join(found, F.col(mark) == F.col("_found"), "left_anti").select(*docs.columns)

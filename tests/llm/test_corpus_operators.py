@@ -254,13 +254,73 @@ def test_links_find_every_pair_in_a_dense_cluster(spark):
     assert got == dict(zip(fps.view(np.int64).tolist(), label.tolist(), strict=True))
 
 
-def test_templates_and_slots():
-    item = "A train leaves Boston at 10 and travels 300 km in 5 hours while another train leaves Denver at 10 with Alice on board."
-    texts = [f"Before. {item} After.", item.replace("Boston", "Paris").replace("10", "11").replace("300", "4,500").replace("Alice", "Eve"),
-             item.replace("Boston at 10", "Boston at 12"), None, "", "nothing like that"]
-    found = {m[0]: m for m in decontaminate.Items([1], [item]).matches(pa.array(texts))}
-    assert set(found) == {0, 1}
-    assert found[0][6] == 0 and found[1][6] > 0
+TRAIN = "A train leaves Boston at 10 and travels 300 km in 5 hours while another train leaves Denver at 10 with Alice on board."
+
+
+def held(spark, texts, items, **options):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").repartition(2)
+    return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, bench, **options).collect()}
+
+
+@pytest.mark.parametrize("max_keys", [0, 1 << 20])
+def test_templates_and_slots(spark, max_keys):
+    texts = [f"Before. {TRAIN} After.", TRAIN.replace("Boston", "Paris").replace("10", "11").replace("300", "4,500").replace("Alice", "Eve"),
+             TRAIN.replace("Boston at 10", "Boston at 12"), None, "", "nothing like that"]
+    found = held(spark, texts, [TRAIN, None, "", TRAIN], max_keys=max_keys)
+    assert set(found) == {(0, 0), (1, 0), (0, 3), (1, 3)}
+    assert [(found[k].kind, found[k].changed > 0, found[k].covered) for k in ((0, 0), (1, 0))] == [
+        ("verbatim", False, found[0, 0].item_tokens), ("reparameterised", True, found[0, 0].item_tokens)]
+    assert found[0, 0].first_token == 1
+
+
+def test_numbers_and_short_items_are_found_word_by_word(spark):
+    items = ["Compute 12 + 30 + 45 + 18 + 7 + 99 + 3 + 4 + 5 + 6", "Define entropy", "12 13"]
+    texts = [f"x {items[0]} y", "Compute 13 + 30 + 45 + 18 + 7 + 99 + 3 + 4 + 5 + 6", "please define entropy now", "define the entropy", "at 12 13 and", "at 12 14 and"]
+    found = held(spark, texts, items)
+    assert set(found) == {(0, 0), (2, 1), (4, 2)} and all(r.kind == "verbatim" for r in found.values())
+
+
+def plain_tokens(text):
+    tokens = decontaminate.canonical(pa.array([text]))
+    return [("w", v) if k == decontaminate.WORD else (int(k), v) for k, v in zip(tokens.kind, tokens.value.tolist(), strict=True)]
+
+
+def test_contamination_against_brute_force(spark):
+    """All windows of all pairs, over texts of few words, so that many windows meet and many slot checks fail."""
+    rng = random.Random(4)
+    vocabulary = [*"alpha beta gamma delta epsilon zeta".split(), "7", "12", "km", "Bob", "Ann"]
+    items = [" ".join(rng.choices(vocabulary, k=rng.randint(1, 18))) for _ in range(25)]
+    texts = [" ".join(rng.choices([*vocabulary, rng.choice(items), rng.choice(items).replace("7", "9").replace("Bob", "Eve")], k=rng.randint(1, 9))) for _ in range(50)]
+
+    def key(run, size):
+        slots = [t for t in run if t[0] != "w"]
+        exact = 2 * (size - len(slots)) <= size or size < decontaminate.LEAST
+        return (exact, tuple(t[1] for t in run) if exact else tuple(t if t[0] == "w" else t[0] for t in run))
+
+    want = set()
+    for d, doc in enumerate(map(plain_tokens, texts)):
+        for i, item in enumerate(map(plain_tokens, items)):
+            size, offsets = min(len(item), decontaminate.WINDOW), {}
+            for p in range(len(doc) - size + 1):
+                for q in range(len(item) - size + 1):
+                    if key(doc[p : p + size], size) == key(item[q : q + size], size):
+                        offsets.setdefault(p - q, set()).update(range(q, q + size))
+            covered = set()
+            for offset, places in offsets.items():
+                pairs = {(item[k][1], doc[offset + k][1]) for k in places if item[k][0] != "w"}
+                if len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}):
+                    covered |= places
+            if covered and len(covered) >= 0.5 * len(item):
+                want.add((d, i))
+    assert set(held(spark, texts, items)) == want and len(want) > 30
+
+
+def test_documents_without_contamination(spark):
+    docs = spark.createDataFrame([(1, TRAIN, "a"), (1, "clean", "b"), (None, f"x {TRAIN}", "c"), (None, None, "d"), (2, "", "e"), (3, "clean", "f"), (3, "clean", "f")],
+                                 "doc_id long, text string, digest string")
+    bench = spark.createDataFrame([(1, TRAIN)], "item_id long, text string")
+    assert sorted(r.digest for r in decontaminate.without_contaminated(docs, bench).collect()) == ["b", "d", "e", "f", "f"]
 
 
 def test_rans_round_trip_checkpoints_and_damage():
