@@ -29,9 +29,11 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset, as in tests, a new temporary one."""
+    """The folder in spark.checkpoint.dir; where a local session has none, as in tests, a new temporary one."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         set_dir = tempfile.mkdtemp(prefix="llm-shared-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(set_dir)

@@ -221,7 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
                 ], ["doc_id", "label", "features", "length"])
 
     chosen = docs.select("doc_id", "text").join(sample, "doc_id")
-    got = map_arrow(chosen, run, "doc_id long, label int, features binary, length binary").toPandas()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    got = map_arrow(chosen, run, f"doc_id {kind}, label int, features binary, length binary").toPandas()
     got = got.sort_values(["doc_id", "features"]).drop_duplicates("doc_id")
     width = line_features(pa.array([""]))[0].shape[1]
     if not len(got):

@@ -242,16 +242,17 @@ def passages(docs: DataFrame, model: Model, significant: float = SIGNIFICANT) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             words, found = model.segments(batch.column("text"))
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            texts = batch.column("text").to_pylist()
             rows = []
             for i, segments in enumerate(found):
                 raw, first, base = (texts[i] or "").encode(), words.first[i], words.bounds[i]
                 for s, a, b in segments:
                     if (x := model.surprise(s, words.first[i + 1] - first)) > -np.log(significant):
-                        rows.append((ids[i], raw[words.starts[first + a] - base : words.ends[first + b] - base].decode(), s, x))
-            out = [pa.array(c) for c in zip(*rows, strict=True)] if rows else [pa.array([]) for _ in names]
-            yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(out, kinds, strict=True)], names)
+                        rows.append((i, raw[words.starts[first + a] - base : words.ends[first + b] - base].decode(), s, x))
+            at, *out = [pa.array(c) for c in zip(*rows, strict=True)] if rows else [pa.array([]) for _ in names]
+            ids = batch.column("doc_id").take(at.cast(pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *[c.cast(t) for c, t in zip(out, kinds, strict=True)]], names)
 
-    names, kinds = ["doc_id", "passage", "segment_score", "surprise"], [pa.int64(), pa.string(), pa.float64(), pa.float64()]
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run,
-                     "doc_id long, passage string, segment_score double, surprise double")
+    names, kinds = ["doc_id", "passage", "segment_score", "surprise"], [pa.string(), pa.float64(), pa.float64()]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, passage string, segment_score double, surprise double")

@@ -410,6 +410,19 @@ def test_held_out_accuracy(spark, name, label, least):
     assert got.selectExpr(f"avg(cast(predicted = {label} AS double))").first()[0] >= least
 
 
+def test_ids_may_be_texts(spark):
+    docs = spark.createDataFrame([(f"d{i}", ("vile slur " * 9 if i % 2 else "calm kind words here ") * 4 + "\n" + "and so on " * 9) for i in range(80)] + [(None, None)],
+                                 "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", 1 - i % 2, i % 2) for i in range(60)], "doc_id string, quality int, toxic int")
+    learn = F.lit(True)
+    quality = line_crf.fit(docs, labels, learn, epochs=20)
+    assert {r.doc_id[0] for r in line_crf.lines(docs, quality).collect() if r.doc_id} == {"d"}
+    assert line_crf.lines(docs, quality).where("doc_id = 'd3'").count() == 2
+    toxic = toxicity.fit(docs, labels, learn)
+    found = toxicity.passages(docs, toxic).collect()
+    assert found and all(int(r.doc_id[1:]) % 2 and set(r.passage.split()) <= {"vile", "slur"} for r in found)
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     good = corpus_pipeline.good_documents(spark, docs, SF)
