@@ -7,7 +7,11 @@
    fingerprint also visits the shard across, if that comes before its own.
 3. In a shard, members and visitors look up the members with a tree of the same kind that goes down to small leaves. What is
    found is joined at once into groups, so a shard gives at most one link for each fingerprint in it, never all pairs.
-4. The links of all shards form a graph, whose connected components are the groups.
+4. A shard of over `DENSE` times the usual rows is a ball of fingerprints so close to each other that no vantage point tells
+   them apart. It is not searched in one task: each of its fingerprints is filed under itself and under all that differ from it
+   in bits / 2 bits, and two lie within `bits` exactly if they meet under one of these. A key holds 65 fingerprints at most
+   (for 2 bits), and rows are 65 for each fingerprint however many the ball has.
+5. The links of all shards form a graph, whose connected components are the groups.
 
 The sample only places the boundaries: whatever it holds, every pair within `bits` is found. The number of shards follows
 the number of distinct fingerprints.
@@ -32,6 +36,8 @@ BITS = 2
 SHINGLE = 3
 SEED = 42
 SHARD_ROWS = 16_384
+#: A shard with more rows than so many times SHARD_ROWS is joined by shared neighbours instead (for an even number of bits).
+DENSE = 2
 #: Sampled fingerprints for each shard, and at most; a sample that is too small makes shards uneven, not results wrong.
 SAMPLE_EACH = 64
 SAMPLE_MAX = 1 << 18
@@ -157,6 +163,18 @@ def linked(fps: np.ndarray, member: np.ndarray, bits: int) -> tuple[np.ndarray,
     return found, top(found)
 
 
+def neighbour_links(fps: DataFrame, bits: int) -> DataFrame:
+    """a, b: links among distinct fingerprints within bits, an even number, as their balls of half the bits meet."""
+    flips = F.array(F.lit(0).cast("long"), *[F.shiftleft(F.lit(1).cast("long"), i) for i in range(64)])
+    keys = fps.select("fp", F.col("fp").alias("key"))
+    for _ in range(bits // 2):
+        keys = keys.select("fp", "key", F.explode(flips).alias("flip")).select("fp", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
+    met = keys.distinct().groupBy("key").agg(F.collect_list("fp").alias("near")) if bits > 2 else keys.groupBy("key").agg(
+        F.collect_list("fp").alias("near"))
+    found = met.where(F.size("near") > 1).select(F.explode("near").alias("a"), F.array_min("near").alias("b"))
+    return found.where("a <> b").distinct()
+
+
 def links(fps: DataFrame, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """a, b: fingerprints of one group. Their connected components are those of all pairs within bits."""
     tree = shard_tree(fps, shard_rows)
@@ -181,9 +199,16 @@ def links(fps: DataFrame, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> Dat
         found, first = linked(values, shard.column("member").to_numpy(zero_copy_only=False)[order], bits)
         return pa.table({"a": values[found].view(np.int64), "b": values[first].view(np.int64)})
 
-    dealt = map_arrow(fps.select("fp"), deal, "shard int, fp bigint, member boolean")
+    dealt = cut(map_arrow(fps.select("fp"), deal, "shard int, fp bigint, member boolean"))
+    sizes = dealt.groupBy("shard").count()
+    limit = DENSE * shard_rows if bits % 2 == 0 else 1 << 62
+    dense = F.broadcast(sizes.where(F.col("count") > limit).select("shard"))  # one row for each leaf of the tree at most
     # Shards are numbered, so each gets a task of its own; hashed, several would meet in one.
-    return dealt.repartitionById(shards, "shard").groupBy("shard").applyInArrow(search, "a bigint, b bigint")
+    found = dealt.join(dense, "shard", "left_anti").repartitionById(shards, "shard").groupBy("shard").applyInArrow(
+        search, "a bigint, b bigint")
+    if bits % 2:
+        return found
+    return found.unionByName(neighbour_links(dealt.join(dense, "shard", "left_semi").select("fp").distinct(), bits))
 
 
 def groups(fingerprints: DataFrame, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
