@@ -11,7 +11,7 @@
    logistic curve, fitted on the same documents, turns it into a score between 0 and 1.
 
 Fitting uses at most `sample_rows` labelled documents of either label; the prior and the token frequencies come from all
-documents. The lexicon has at most `vocabulary` tokens, so it can be sent to every task.
+documents. Every token of the toxic documents of that sample is a candidate, so the sample bounds what is sent to the tasks.
 
 Defined results: null and empty texts have no segment and get the score of no evidence; null labels are not learnt from;
 repeated rows are scored alike; without any label, or with one label only, the score is the share of that label or 0.5; an
@@ -32,7 +32,6 @@ from fleetgauge.llm.common import Words, cut, map_arrow, pieces, split_words
 from fleetgauge.llm.line_crf import adam, labelled_sample
 
 SAMPLE_ROWS = 8000
-VOCABULARY = 50_000
 #: The prior of a token: a count of its own, and its share of so many tokens of the corpus.
 PRIOR_EACH = 0.5
 PRIOR_TOKENS = 1000.0
@@ -112,9 +111,9 @@ class Model:
         return 1 / (1 + np.exp(-x))
 
 
-def sample_counts(chosen: DataFrame, vocabulary: int):
-    """token, hash, toxic, clean (numbers of documents) of the tokens in two toxic documents or more; then documents of
-    either label, and tokens of the clean ones."""
+def sample_counts(chosen: DataFrame):
+    """hash, toxic, clean (numbers of documents), clean_tokens of the tokens of toxic documents; then documents of either label,
+    and tokens of the clean ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             words = tokens_of(batch.column("text"))
@@ -123,21 +122,19 @@ def sample_counts(chosen: DataFrame, vocabulary: int):
             _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
             pairs = np.unique(np.stack([which, words.doc()]), axis=1)
             in_toxic = np.bincount(pairs[0], label[pairs[1]], len(one)).astype(np.int64)
-            text = words.data.tobytes()
-            names = [text[words.starts[i] : words.ends[i]].decode() for i in one]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array(hashes[one].view(np.int64)), pa.array(in_toxic),
+                [pa.array(hashes[one].view(np.int64)), pa.array(in_toxic),
                  pa.array(np.bincount(pairs[0], minlength=len(one)) - in_toxic),
                  pa.array(np.bincount(which, label[words.doc()] == 0, len(one)).astype(np.int64))],
-                ["token", "hash", "toxic", "clean", "clean_tokens"])
+                ["hash", "toxic", "clean", "clean_tokens"])
 
     counts = ("toxic", "clean", "clean_tokens")
-    counted = map_arrow(chosen, run, "token string, hash long, toxic long, clean long, clean_tokens long").groupBy("hash").agg(
-        F.min("token").alias("token"), *[F.sum(c).alias(c) for c in counts])
+    counted = map_arrow(chosen, run, "hash long, toxic long, clean long, clean_tokens long").groupBy("hash").agg(
+        *[F.sum(c).alias(c) for c in counts])
     counted = cut(counted)
     either = chosen.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     n_tokens = counted.agg(F.sum("clean_tokens")).first()[0]
-    kept = counted.where("toxic >= 2").orderBy(F.desc("toxic"), "clean", "token").limit(vocabulary).toPandas()
+    kept = counted.where("toxic > 0").toPandas()
     return kept.sort_values("hash", key=lambda h: h.to_numpy().view(np.uint64)), either[0], either[1], n_tokens or 0
 
 
@@ -184,12 +181,11 @@ def segment_rate(gains: np.ndarray, share: np.ndarray, drift: float) -> float:
     return low
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", sample_rows: int = SAMPLE_ROWS,
-        vocabulary: int = VOCABULARY) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Model:
     """The model from labelled documents for which `learn`, a condition on doc_id, holds."""
     sample = labelled_sample(labels, label, learn, sample_rows)  # at most 2 * sample_rows ids
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    kept, n_toxic, n_clean, n_tokens = sample_counts(chosen, vocabulary)
+    kept, n_toxic, n_clean, n_tokens = sample_counts(chosen)
     if not n_toxic or not n_clean:
         return Model(constant=1.0 if n_toxic else 0.0 if n_clean else 0.5)
     hashes = kept["hash"].to_numpy(np.int64).view(np.uint64)
