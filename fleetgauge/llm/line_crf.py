@@ -4,8 +4,15 @@ A line is described by shares of its bytes and words, and by the same shares of
 for each pair of neighbouring labels. Forward and backward sums give the probability that a line is good, and the mean of
 these, weighted by the lines' lengths, is calibrated to the probability that the document has label 1.
 
-Fitting uses at most `sample_rows` labelled documents of either label, those with the least hash of their id; their lines
-carry the label of the document. Only the text is looked at. Scoring is one pass over the documents, without a shuffle.
+Labels are known of documents, not of lines, so the lines' labels are hidden. A document's label is a noisy label of each of its
+lines, which a document of the other kind may hold as well. First a line by itself, without those around it, predicts the
+label of its document; how sure it can be at best is read off the median line of the good documents and that of the bad
+ones, and between these two the prediction becomes the probability that the line itself is good. The chain is fitted to these.
+A line that looks like those of good documents so comes out good in a bad document too.
+
+Fitting uses at most `sample_rows` labelled documents of either label, those with the least hash of their id, and of them as
+many as have `sample_lines` lines together. Only the text is looked at. Scoring is one pass over the documents, without a
+shuffle.
 
 Defined results: null and empty texts are one empty line; null labels are not learnt from; repeated rows are scored alike;
 without any label, or with one label only, the score is the share of that label or 0.5; an empty table gives an empty result;
@@ -19,13 +26,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgauge.llm.common import SPACES, map_arrow, pieces, split_words
 
 SAMPLE_ROWS = 4000
+#: Lines of the documents of either label that a fit looks at; a document with over a tenth of them is left out.
+SAMPLE_LINES = 100_000
 EPOCHS = 150
+#: Features of a line itself, with the constant; the others are of the lines around it.
+OWN = 14
+#: No hidden label is surer than this.
+SURE = 0.98
 _LETTERS = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 _CAPITAL = np.array([65 <= b <= 90 for b in range(256)])
 _DIGIT = np.array([48 <= b <= 57 for b in range(256)])
@@ -157,33 +170,50 @@ def adam(gradient, x: np.ndarray, epochs: int, rate: float = 0.1) -> np.ndarray:
     return x
 
 
+def hidden_labels(own: np.ndarray, length: np.ndarray, first: np.ndarray, labels: np.ndarray, weight: np.ndarray,
+                  epochs: int) -> np.ndarray:
+    """Probability that each line is good, from its own features: what they say of the document's label, without its noise."""
+    label = np.repeat(labels, np.diff(first))
+
+    def slope(w: np.ndarray) -> np.ndarray:
+        p = 1 / (1 + np.exp(-np.clip(own @ w, -50, 50)))
+        return own.T @ ((p - label) * weight) / len(labels) + 1e-4 * w
+
+    p = 1 / (1 + np.exp(-np.clip(own @ adam(slope, np.zeros(own.shape[1]), epochs), -50, 50)))
+    full = length > 0  # an empty line says nothing of either kind
+    low, high = (np.median(p[some] if (some := full & (label == y)).any() else p[label == y]) for y in (0, 1))
+    if high <= low:
+        return np.clip(label, 1 - SURE, SURE)  # lines by themselves tell nothing: the document's label is all there is
+    return np.clip((p - low) / (high - low), 1 - SURE, SURE)
+
+
 def fit_model(features: np.ndarray, length: np.ndarray, first: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS) -> Model:
-    """Weights of greatest conditional likelihood (with a small penalty), and the calibration of the documents' scores."""
+    """Weights of greatest conditional likelihood of the hidden labels (with a small penalty), and the calibration of the
+    documents' scores."""
     if len(labels) == 0 or labels.min() == labels.max():
         return Model(np.zeros(features.shape[1] if len(features) else 0), np.zeros((2, 2)),
                      constant=float(labels[0]) if len(labels) else 0.5)
-    chains, line_label = Chains(first), np.repeat(labels, np.diff(first))
+    chains, per_text, n = Chains(first), np.diff(first), len(labels)
     inner = np.ones(len(features), bool)
     inner[first[1:] - 1] = False
     inner = np.flatnonzero(inner)
     # Either label weighs as much, and so does each document, whatever its number of lines.
-    weight = (1 / np.diff(first) / np.where(labels == 1, labels.mean(), 1 - labels.mean()) / 2)
-    line_weight, n = np.repeat(weight, np.diff(first)), len(labels)
-    seen = np.zeros((2, 2))
-    for y in (0, 1):
-        seen[y, y] = line_weight[inner][line_label[inner] == y].sum()
+    line_weight = np.repeat(0.5 / np.where(labels == 1, labels.mean(), 1 - labels.mean()) / per_text, per_text)
+    good_line = hidden_labels(features[:, :OWN], length, first, labels, line_weight, epochs)
+    each = np.stack([1 - good_line, good_line], axis=1)
+    seen = (each[inner] * line_weight[inner][:, None]).T @ each[inner + 1]
 
     def gradient(x: np.ndarray) -> np.ndarray:
         pair, w = x[:4].reshape(2, 2), x[4:]
         unary = np.zeros((len(features), 2))
         unary[:, 1] = features @ w
         forward, backward, total = chains.sums(unary, pair)
-        total = np.repeat(total, np.diff(first))
+        total = np.repeat(total, per_text)
         good = np.exp(np.minimum(forward[:, 1] + backward[:, 1] - total, 0))
         both = np.exp(forward[inner][:, :, None] + pair + (unary + backward)[inner + 1][:, None, :] - total[inner][:, None, None])
         expected = (both * line_weight[inner][:, None, None]).sum(axis=0)
         return np.concatenate([(expected - seen).ravel() / n + 1e-3 * x[:4],
-                               features.T @ ((good - line_label) * line_weight) / n + 1e-4 * w])
+                               features.T @ ((good - good_line) * line_weight) / n + 1e-4 * w])
 
     x = adam(gradient, np.zeros(4 + features.shape[1]), epochs)
     model = Model(x[4:], x[:4].reshape(2, 2))
@@ -205,8 +235,21 @@ def labelled_sample(labels: DataFrame, label: str, learn: Column, rows: int = SA
     return each[0].unionByName(each[1]).dropDuplicates(["doc_id"])
 
 
+def within_lines(chosen: DataFrame, limit: int) -> DataFrame:
+    """The chosen documents, one text for each id, whose lines with those of all before them of their label are `limit` at most.
+    Documents with more than a tenth of that are left out."""
+    n_lines, mark = F.size(F.split(F.coalesce("text", F.lit("")), "\n")), F.xxhash64("text")
+    sizes = chosen.groupBy("doc_id", "label").agg(F.min(F.struct(n_lines.alias("n"), mark.alias("mark"))).alias("least"))
+    sizes = sizes.where(F.col("least.n") * 10 <= limit)
+    # At most twice the sample's rows.
+    upto = F.sum("least.n").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(
+        Window.unboundedPreceding, 0))
+    fits = sizes.withColumn("upto", upto).where(F.col("upto") <= limit).select("doc_id", "least.mark")
+    return chosen.withColumn("mark", mark).join(F.broadcast(fits), ["doc_id", "mark"]).dropDuplicates(["doc_id"]).drop("mark")
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", sample_rows: int = SAMPLE_ROWS,
-        epochs: int = EPOCHS) -> Model:
+        epochs: int = EPOCHS, sample_lines: int = SAMPLE_LINES) -> Model:
     """The model from labelled documents for which `learn`, a condition on doc_id, holds."""
     sample = F.broadcast(labelled_sample(labels, label, learn, sample_rows))  # at most 2 * sample_rows ids
 
@@ -220,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
                     pa.array([features[a:b].astype(np.float32).tobytes()]), pa.array([length[a:b].astype(np.int64).tobytes()]),
                 ], ["doc_id", "label", "features", "length"])
 
-    chosen = docs.select("doc_id", "text").join(sample, "doc_id")
+    chosen = within_lines(docs.select("doc_id", "text").join(sample, "doc_id"), sample_lines)
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = map_arrow(chosen, run, f"doc_id {kind}, label int, features binary, length binary").toPandas()
     got = got.sort_values(["doc_id", "features"]).drop_duplicates("doc_id")

@@ -254,6 +254,27 @@ def test_links_find_every_pair_in_a_dense_cluster(spark):
     assert got == dict(zip(fps.view(np.int64).tolist(), label.tolist(), strict=True))
 
 
+@pytest.mark.parametrize("bits", [2, 4])
+def test_a_ball_is_joined_by_shared_neighbours(spark, bits):
+    """Fingerprints around one point: no shard of the tree may hold them all, and groups are those of all pairs."""
+    rng = np.random.default_rng(8)
+    centre, one = np.uint64(0x9E3779B97F4A7C15), np.uint64(1)
+    flips = [one << np.array(rng.choice(64, rng.integers(1, 4), replace=False), np.uint64) for _ in range(700)]
+    ball = np.array([centre ^ np.bitwise_or.reduce(f) for f in flips], np.uint64)
+    fps = np.unique(np.concatenate([ball, rng.integers(0, 1 << 63, 200, dtype=np.uint64)]))
+    label = np.arange(len(fps))
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= bits
+    pairs = {(int(a), int(b)) for a, b in np.argwhere(near) if a > b}
+    while not np.array_equal(label, new := np.array([label[row].min() for row in near])):
+        label = new
+    number = {f: i for i, f in enumerate(fps.view(np.int64).tolist())}
+    df = spark.createDataFrame([(i, f) for f, i in number.items()], "doc_id long, fp long").repartition(4)
+    close = {tuple(sorted((number[r.a], number[r.b]), reverse=True)) for r in simhash.neighbour_links(df, bits).collect()}
+    assert close and close <= pairs
+    got = {r.fp: r.component_id for r in simhash.groups(df, bits, 16).collect()}
+    assert got == {f: int(label[i]) for f, i in number.items()}
+
+
 TRAIN = "A train leaves Boston at 10 and travels 300 km in 5 hours while another train leaves Denver at 10 with Alice on board."
 
 
@@ -403,6 +424,47 @@ def test_crf_sums_against_all_labellings():
             assert np.exp(forward[a + t, 1] + backward[a + t, 1] - total[d]) == pytest.approx(good)
 
 
+def mixed_lines(rng, kinds):
+    """Lines of plain words (True) or of junk (False)."""
+    def line(good):
+        n = rng.randint(5, 12)
+        return " ".join(rng.choices(["the", "river", "was", "calm", "and", "boats", "came", "home"], k=n)) + "." if good else " ".join(
+            rng.choices(["$$##", "9%41", "|||", "ZZ=Q", "&&", "{}_~"], k=n))
+    return "\n".join(line(k) for k in kinds)
+
+
+def test_lines_of_half_junk_documents_come_out_right(spark):
+    """Fitted on labels of documents that hold lines of both kinds, in unlike shares."""
+    rng = random.Random(11)
+    rows, labels = [], []
+    for i in range(240):
+        bad = i % 2
+        kinds = [True] * (4 if bad else 10) + [False] * (8 if bad else 2)
+        if i % 3 == 0:
+            rng.shuffle(kinds)
+        elif i % 3 == 1:
+            kinds.reverse()
+        rows.append((i, mixed_lines(rng, kinds)))
+        labels.append((i, 1 - bad))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    model = line_crf.fit(docs, marks, F.lit(True))
+    plans = [[True] * 6 + [False] * 6, [False] * 6 + [True] * 6, [True] * 3 + [False] * 6 + [True] * 3]
+    half = spark.createDataFrame([(i, mixed_lines(rng, k)) for i, k in enumerate(plans)], "doc_id long, text string")
+    got = {(r.doc_id, r.line): r.good for r in line_crf.lines(half, model).collect()}
+    right = [(got[d, t] >= 0.5) == k for d, plan in enumerate(plans) for t, k in enumerate(plan)]
+    assert np.mean(right) >= 0.9
+    assert max(got.values()) - min(got.values()) > 0.9
+    scored = line_crf.score(docs, model).join(marks, "doc_id")
+    assert scored.selectExpr("avg(cast(predicted = quality AS double))").first()[0] >= 0.95
+
+
+def test_fit_looks_at_a_bounded_number_of_lines(spark):
+    rows = [(i, "a\n" * (9 if i else 50)) for i in range(30)]
+    chosen = spark.createDataFrame(rows * 2, "doc_id long, text string").withColumn("label", (F.col("doc_id") % 2).cast("int"))
+    kept = line_crf.within_lines(chosen, 100).collect()
+    assert len(kept) == 20 and len({r.doc_id for r in kept}) == 20 and 0 not in {r.doc_id for r in kept}
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op6_line_crf", "quality", 0.95), ("op8_toxic_segments", "toxic", 0.85)])
 def test_held_out_accuracy(spark, name, label, least):
     sf = "/root/testdata/sf0.01"
