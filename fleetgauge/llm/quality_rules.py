@@ -2,14 +2,19 @@
 
 Every document gets a few whole-number measures. A sketch of a measure is a table of counts per bucket, where a bucket holds
 values that agree in their leading `SKETCH_BITS` bits; two sketches merge by adding counts, and a quantile read from one is at
-most 1/32 too high. A document is kept if no measure lies beyond the bounds of its language and source. A source with less
-than `min_rows` documents uses the sketch of its language, merged from all of its sources, and a small language that of all.
+most 1/32 too high. Sketches hold the documents that pass the base rules, so that the others do not widen the bounds. A
+document is kept if no measure lies beyond the bounds of its language and source.
+
+Quartiles of a source are blended with those of its language (merged from all its sources), and these with those of all
+documents, in proportion to rows: the wider group counts as `prior_rows` documents. So every source has bounds of its own,
+which the first few documents hardly move and many set.
 
 A bound is median + width * (upper quartile - median) + slack, and likewise below. Quartiles stand firm while up to a quarter
 of a source is junk; the slack keeps a source whose documents are all alike from rejecting small deviations.
 
 Defined results: null texts are empty texts; null languages and sources are groups of their own; equal rows count as often
-as they occur; an empty table gives an empty result; other columns are ignored.
+as they occur; an empty table gives an empty result; other columns are ignored. A source without a document that passes the
+base rules has no bounds and needs none.
 """
 
 from __future__ import annotations
@@ -21,7 +26,8 @@ from fleetgauge.llm.common import SPACE_RUN, cut
 
 SKETCH_BITS = 6
 WIDTH = 6
-MIN_ROWS = 200
+#: Documents that the wider group counts as in a blend.
+PRIOR_ROWS = 100
 #: Measure, slack above, slack below (None: no bound below).
 MEASURES = {
     "word_length": (300, 300),
@@ -106,16 +112,20 @@ def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
         *[F.min(F.when(F.col("upto") * 4 >= F.col("rows") * q, F.col("high"))).alias(f"q{q}") for q in (1, 2, 3)])
 
 
-def bounds(sketches: DataFrame, width: int = WIDTH, min_rows: int = MIN_ROWS) -> DataFrame:
+def blended(own: str, rows: str, wider: str, prior_rows: int) -> str:
+    """SQL of the mean of a group's quantile and the wider group's, weighted by rows; a whole number."""
+    return f"(({own} * {rows} + {wider} * {prior_rows}) div ({rows} + {prior_rows}))"
+
+
+def bounds(sketches: DataFrame, width: int = WIDTH, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """lang, source, and the bound above (and below) of each measure, one row per language and source."""
     by_source = quartiles(sketches, ["lang", "source"]).alias("s")
     by_lang = quartiles(merged(sketches, ["lang"]), ["lang"]).alias("l")
     overall = quartiles(merged(sketches, []), []).alias("a")
-    enough = F.col("s.rows") >= min_rows
-    lang_enough = F.col("l.rows") >= min_rows
 
     def level(q: str) -> Column:
-        return F.when(enough, F.col(f"s.{q}")).when(lang_enough, F.col(f"l.{q}")).otherwise(F.col(f"a.{q}")).alias(q)
+        lang = blended(f"l.{q}", "l.rows", f"a.{q}", prior_rows)
+        return F.expr(blended(f"s.{q}", "s.rows", lang, prior_rows)).alias(q)
 
     chosen = (
         by_source.join(by_lang, F.col("s.lang").eqNullSafe(F.col("l.lang")) & (F.col("s.measure") == F.col("l.measure")))
@@ -131,19 +141,18 @@ def bounds(sketches: DataFrame, width: int = WIDTH, min_rows: int = MIN_ROWS) ->
     return chosen.groupBy("lang", "source").agg(*out)
 
 
-def quality_rules(docs: DataFrame, width: int = WIDTH, min_rows: int = MIN_ROWS) -> DataFrame:
+def quality_rules(docs: DataFrame, width: int = WIDTH, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """doc_id, lang, source, the five counts, base_failed, failed (names of the measures out of bounds) and kept."""
-    rows = cut(measures(base_measures(docs, ["doc_id", "lang", "source"])))
-    limits = bounds(cut(sketch(rows, ["lang", "source"])), width, min_rows).alias("b")
+    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    rows = cut(measures(base_measures(docs, ["doc_id", "lang", "source"])).withColumn("base_failed", base_failed))
+    limits = bounds(cut(sketch(rows.where("NOT base_failed"), ["lang", "source"])), width, prior_rows).alias("b")
     names = []
     for m, (_, below) in MEASURES.items():
         out = F.col(m) > F.col(f"{m}_max")
         names.append(F.when(out if below is None else out | (F.col(m) < F.col(f"{m}_min")), F.lit(m)))
-    base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    same = F.col("r.lang").eqNullSafe(F.col("b.lang")) & F.col("r.source").eqNullSafe(F.col("b.source"))
     return (
-        rows.alias("r")
-        .join(limits, F.col("r.lang").eqNullSafe(F.col("b.lang")) & F.col("r.source").eqNullSafe(F.col("b.source")))
-        .select("r.doc_id", "r.lang", "r.source", *BASE, base_failed.alias("base_failed"),
-                F.array_compact(F.array(*names)).alias("failed"))
+        rows.alias("r").join(limits, same, "left")
+        .select("r.doc_id", "r.lang", "r.source", *BASE, "base_failed", F.array_compact(F.array(*names)).alias("failed"))
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
     )

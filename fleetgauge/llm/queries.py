@@ -99,7 +99,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def op1_sql() -> str:
-    width, least = quality_rules.WIDTH, quality_rules.MIN_ROWS
+    width, prior = quality_rules.WIDTH, quality_rules.PRIOR_ROWS
     names = list(quality_rules.MEASURES)
     levels = [("s", ["lang", "source", "measure"]), ("l", ["lang", "measure"]), ("a", ["measure"])]
     quartiles = ",\n".join(f"""q{t} AS (
@@ -110,7 +110,8 @@ def op1_sql() -> str:
         GROUP BY {", ".join(keys)})""" for t, keys in levels)
 
     def level(q: str) -> str:
-        return f"CASE WHEN s.total >= {least} THEN s.{q} WHEN l.total >= {least} THEN l.{q} ELSE a.{q} END AS {q}"
+        lang = f"(l.{q} * l.total + a.{q} * {prior}) // (l.total + {prior})"
+        return f"((s.{q} * s.total + {lang} * {prior}) // (s.total + {prior}))::BIGINT AS {q}"
 
     limits = " UNION ALL ".join(f"SELECT '{m}' AS measure, {above} AS above, {'NULL' if below is None else below} AS below"
                                 for m, (above, below) in quality_rules.MEASURES.items())
@@ -126,7 +127,8 @@ def op1_sql() -> str:
                  len(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
                  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
                  len(lines) AS n_lines, len(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_capitals,
-                 len(regexp_replace(text, '[^!?]+', '', 'g')) AS n_marks
+                 len(regexp_replace(text, '[^!?]+', '', 'g')) AS n_marks,
+                 len(words) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(words) AS base_failed
           FROM d LEFT JOIN c USING (r)),
     m AS (SELECT *, CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END AS word_length,
                  CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END AS symbol_share,
@@ -134,18 +136,17 @@ def op1_sql() -> str:
                  CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS repeat_share,
                  CASE WHEN word_chars > 0 THEN n_capitals * 1000 // word_chars ELSE 0 END AS capital_share,
                  CASE WHEN word_chars > 0 THEN n_marks * 1000 // word_chars ELSE 0 END AS mark_share FROM b),
-    u AS (UNPIVOT (SELECT r, coalesce(lang, chr(0)) AS lang, coalesce(source, chr(0)) AS source, {", ".join(f"{n}::BIGINT AS {n}" for n in names)} FROM m)
+    u AS (UNPIVOT (SELECT r, base_failed, coalesce(lang, chr(0)) AS lang, coalesce(source, chr(0)) AS source, {", ".join(f"{n}::BIGINT AS {n}" for n in names)} FROM m)
           ON {", ".join(names)} INTO NAME measure VALUE v),
     z AS (SELECT *, greatest(length(bin(v)) - {quality_rules.SKETCH_BITS}, 0) AS zeros FROM u),
-    buckets AS (SELECT *, (v >> zeros) << zeros AS low, (((v >> zeros) + 1) << zeros) - 1 AS high FROM z),
+    buckets AS (SELECT *, (v >> zeros) << zeros AS low, (((v >> zeros) + 1) << zeros) - 1 AS high FROM z WHERE NOT base_failed),
     {quartiles},
     bounds AS (SELECT s.lang, s.source, s.measure, {level("q1")}, {level("q2")}, {level("q3")}
                FROM qs s JOIN ql l USING (lang, measure) JOIN qa a USING (measure)),
     verdict AS (SELECT u.r, bool_and(u.v <= q2 + {width} * (q3 - q2) + above AND (below IS NULL OR u.v >= q2 - {width} * (q2 - q1) - below)) AS fine
-                FROM u JOIN bounds USING (lang, source, measure) JOIN ({limits}) USING (measure) GROUP BY u.r)
+                FROM u LEFT JOIN bounds USING (lang, source, measure) JOIN ({limits}) USING (measure) GROUP BY u.r)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND fine AS kept
+           base_failed, NOT base_failed AND fine AS kept
     FROM m JOIN verdict USING (r)"""
 
 

@@ -94,6 +94,38 @@ def test_sketches_merge_and_hold_their_error(spark):
     assert 2499**2 <= q2 <= 2499**2 * (1 + 1 / 32)
 
 
+def test_bounds_follow_their_source_and_blend_by_rows(spark):
+    def value(source, rows, at):
+        return [("en", source, *([at + i % 5] * len(quality_rules.MEASURES))) for i in range(rows)]
+
+    names = ", ".join(f"{m} long" for m in quality_rules.MEASURES)
+    prose, code, tiny = value("prose", 1000, 10), value("code", 1000, 300), value("tiny", 5, 300)
+
+    def limits(rows):
+        df = spark.createDataFrame(rows, f"lang string, source string, {names}")
+        return {r.source: r for r in quality_rules.bounds(quality_rules.sketch(df, ["lang", "source"])).collect()}
+
+    got = limits(prose + code + tiny)
+    above = {s: r.symbol_share_max - quality_rules.MEASURES["symbol_share"][0] for s, r in got.items()}
+    assert above["code"] > 300 > above["prose"] + 200
+    # Bounds move with rows, without a step: each added document counts.
+    steps = [limits(8 * prose + value("few", n, 300))["few"].symbol_share_max for n in (1, 50, 100, 200, 400, 1000)]
+    assert steps == sorted(steps) and len(set(steps)) == len(steps)
+    assert max(b - a for a, b in zip(steps, steps[1:], strict=False)) < 150
+
+
+def test_documents_that_fail_the_base_rules_set_no_bounds(spark):
+    good = [(i, " ".join(f"word{(i * 7 + j) % 997}" for j in range(60)), "en", "s") for i in range(50)]
+    junk = [(100 + i, "# $ % " * 40, "en", "s") for i in range(50)] + [(200, "# $", "fr", "only"), (201, None, None, None)]
+    docs = spark.createDataFrame(good + junk, "doc_id long, text string, lang string, source string")
+    rows = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    assert len(rows) == len(good) + len(junk)
+    assert all(rows[d[0]].kept for d in good) and not any(rows[d[0]].kept for d in junk)
+    assert all(rows[d[0]].base_failed for d in junk)
+    probe = spark.createDataFrame(good + junk + [(300, " ".join(f"w{j} #" for j in range(60)), "en", "s")], docs.schema)
+    assert "symbol_share" in quality_rules.quality_rules(probe).where("doc_id = 300").first().failed
+
+
 def test_shards_fit_and_split_only_when_needed(spark, odd):
     limit = 1500
     rows = sharding.assign_shards(odd, limit).collect()
