@@ -42,6 +42,8 @@ DENSE = 2
 SAMPLE_EACH = 64
 SAMPLE_MAX = 1 << 18
 SAMPLE_LEAST = 8
+#: Fingerprints of a ball that one task files under their neighbours.
+BALL_ROWS = 4096
 LEAF = 64
 #: Vantage points tried for a node.
 VANTAGES = 8
@@ -166,11 +168,14 @@ def linked(fps: np.ndarray, member: np.ndarray, bits: int) -> tuple[np.ndarray,
 def neighbour_links(fps: DataFrame, bits: int) -> DataFrame:
     """a, b: links among distinct fingerprints within bits, an even number, as their balls of half the bits meet."""
     flips = F.array(F.lit(0).cast("long"), *[F.shiftleft(F.lit(1).cast("long"), i) for i in range(64)])
-    keys = fps.select("fp", F.col("fp").alias("key"))
+    # A count of partitions of its own, as adaptive execution would put these few bytes, but many rows to come, in one task.
+    parts = 1 + fps.count() // BALL_ROWS
+    keys = fps.repartition(parts, "fp").select("fp", F.col("fp").alias("key"))
     for _ in range(bits // 2):
         keys = keys.select("fp", "key", F.explode(flips).alias("flip")).select("fp", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
-    met = keys.distinct().groupBy("key").agg(F.collect_list("fp").alias("near")) if bits > 2 else keys.groupBy("key").agg(
-        F.collect_list("fp").alias("near"))
+    if bits > 2:
+        keys = keys.distinct()
+    met = keys.repartition(parts, "key").groupBy("key").agg(F.collect_list("fp").alias("near"))
     found = met.where(F.size("near") > 1).select(F.explode("near").alias("a"), F.array_min("near").alias("b"))
     return found.where("a <> b").distinct()
 
@@ -208,7 +213,8 @@ def links(fps: DataFrame, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> Dat
         search, "a bigint, b bigint")
     if bits % 2:
         return found
-    return found.unionByName(neighbour_links(dealt.join(dense, "shard", "left_semi").select("fp").distinct(), bits))
+    balls = cut(dealt.join(dense, "shard", "left_semi").select("fp").distinct())
+    return found.unionByName(neighbour_links(balls, bits))
 
 
 def groups(fingerprints: DataFrame, bits: int = BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
