@@ -11,6 +11,7 @@ from fleetgauge.plans.catalog import ORACLE, QUERIES
 T0 = dt.datetime(2024, 1, 15)
 NAMES = [
     "daily_quota",
+    "rows_of_known_tenants",
 ]
 
 
