@@ -12,6 +12,7 @@ T0 = dt.datetime(2024, 1, 15)
 NAMES = [
     "daily_quota",
     "rows_of_known_tenants",
+    "rows_over_rate_limit",
 ]
 
 
