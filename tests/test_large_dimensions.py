@@ -13,6 +13,7 @@ NAMES = [
     "daily_quota",
     "rows_of_known_tenants",
     "rows_over_rate_limit",
+    "stream_daily_quota",
 ]
 
 
