@@ -14,6 +14,7 @@ NAMES = [
     "rows_of_known_tenants",
     "rows_over_rate_limit",
     "stream_daily_quota",
+    "known_key_requests",
 ]
 
 
