@@ -15,6 +15,7 @@ NAMES = [
     "rows_over_rate_limit",
     "stream_daily_quota",
     "known_key_requests",
+    "rate_limit_minutes",
 ]
 
 
