@@ -16,6 +16,7 @@ NAMES = [
     "stream_daily_quota",
     "known_key_requests",
     "rate_limit_minutes",
+    "stream_minute_usage",
 ]
 
 
