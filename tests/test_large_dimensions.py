@@ -17,6 +17,7 @@ NAMES = [
     "known_key_requests",
     "rate_limit_minutes",
     "stream_minute_usage",
+    "tenant_quota",
 ]
 
 
