@@ -18,6 +18,7 @@ NAMES = [
     "rate_limit_minutes",
     "stream_minute_usage",
     "tenant_quota",
+    "unknown_key_requests",
 ]
 
 
